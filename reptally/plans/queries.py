@@ -40,6 +40,11 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+def sheet(spark: SparkSession, d: str) -> DataFrame:
+    """The sample sheet as a written table, so that joins are planned on its true size."""
+    return cut(star.sheet(spark, d), "sheet")
+
+
 def merged(spark: SparkSession, d: str) -> DataFrame:
     return fl.keep_merged(star.counts(spark, d))
 
@@ -47,7 +52,7 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
 def labelled(spark: SparkSession, d: str) -> DataFrame:
     """Merged counts with sheet columns and source, written once for the steps that follow."""
     places = (*fl.HIERARCHY, "control_type")
-    rows = fl.label_source(fl.attach_sheet(merged(spark, d), star.sheet(spark, d), places))
+    rows = fl.label_source(fl.attach_sheet(merged(spark, d), sheet(spark, d), places))
     return cut(rows.drop("control_type"), "labelled")
 
 
@@ -93,16 +98,16 @@ def _(spark, d):
     ours = {v: k for k, v in wide.SHEET_HEADERS.items()}
     columns = list(wide.SHEET_HEADERS.values())
     path = new_path(spark, "sheet")
-    rows = star.sheet(spark, d).select(*columns).withColumnsRenamed(ours)
+    rows = sheet(spark, d).select(*columns).withColumnsRenamed(ours)
     rows.write.option("header", True).option("sep", "\t").option("nullValue", wide.MISSING).csv(path)
     return wide.read_sheet(spark, path)
 
 
 @query("sheet_dedupe")
 def _(spark, d):
-    sheet = star.sheet(spark, d)
-    again = sheet.withColumn("raw_name", F.concat(F.lit("second."), F.col("raw_name")))
-    return wide.sheet_dedupe(sheet.unionByName(again))
+    first = sheet(spark, d)
+    second = first.withColumn("raw_name", F.concat(F.lit("second."), F.col("raw_name")))
+    return wide.sheet_dedupe(first.unionByName(second))
 
 
 @query("taxon_key")
@@ -125,7 +130,7 @@ def _(spark, d):
 def _(spark, d):
     key = F.substring("sample", 2, 20)
     raw = star.counts(spark, d).withColumn("sample", F.concat(F.lit("lib."), key, F.lit(".S1")))
-    known = star.sheet(spark, d).filter(F.col("tech_rep") != "1")
+    known = sheet(spark, d).filter(F.col("tech_rep") != "1")
     return wide.rename_samples(raw, known)
 
 
@@ -177,14 +182,14 @@ def _(spark, d):
 
 @query("control_lists")
 def _(spark, d):
-    lists = fl.control_lists(star.sheet(spark, d))
+    lists = fl.control_lists(sheet(spark, d))
     named = [rows.withColumn("list", F.lit(name)) for name, rows in lists.items()]
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @query("label_source")
 def _(spark, d):
-    return fl.label_source(merged(spark, d), star.sheet(spark, d))
+    return fl.label_source(merged(spark, d), sheet(spark, d))
 
 
 @query("drop_zero")
@@ -201,7 +206,7 @@ def _(spark, d):
 @query("null_profile")
 def _(spark, d):
     return fl.null_profile(
-        fl.attach_sheet(star.counts(spark, d), star.sheet(spark, d).filter("tech_rep <> '2'"), ["site", "control_type"])
+        fl.attach_sheet(star.counts(spark, d), sheet(spark, d).filter("tech_rep <> '2'"), ["site", "control_type"])
     )
 
 
@@ -288,7 +293,7 @@ def _(spark, d):
 
 @query("group_sizes")
 def _(spark, d):
-    return bl.group_sizes(merged(spark, d), star.sheet(spark, d), "double")
+    return bl.group_sizes(merged(spark, d), sheet(spark, d), "double")
 
 
 @query("group_sizes_single")
@@ -463,7 +468,7 @@ def _(spark, d):
 
 @query("attach_sheet")
 def _(spark, d):
-    return fl.attach_sheet(merged(spark, d), star.sheet(spark, d))
+    return fl.attach_sheet(merged(spark, d), sheet(spark, d))
 
 
 @query("table_size")
@@ -598,7 +603,7 @@ def _(spark, d):
 @query("align_samples")
 def _(spark, d):
     rows = samples(spark, d).filter("run = 'F' and bio_rep <> 'B'")
-    return tb.align_samples(rows, star.sheet(spark, d), overflow="long")
+    return tb.align_samples(rows, sheet(spark, d), overflow="long")
 
 
 def _shares(spark: SparkSession, d: str) -> DataFrame:
