@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reptally.functions.storage import cut
+
 
 def total_of(df: DataFrame, expr: Column) -> Column:
     """One aggregate over the whole of ``df`` as a scalar subquery."""
@@ -102,9 +104,22 @@ def attach(
     on: Sequence[str],
     how: str = "left",
     by: Sequence[str] = (),
+    counted: str | None = None,
     weights: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``fact`` to ``dim`` (one row per key): broadcast if ``dim`` is small, else spread."""
+    """Join ``fact`` to ``dim``, which has one row per key, by the size of ``dim``.
+
+    If the planner cannot tell that ``dim`` is small, it is written once and the size of
+    its files decides: a small one is broadcast, so that ``fact`` is not shuffled, and for
+    a larger one hot keys are spread (:func:`spread_join`). ``counted`` names a column of
+    ``dim`` that holds the rows of ``fact`` per key; it is not part of the result.
+    """
+    on = list(on)
+    if not small_enough(dim):
+        dim = cut(dim, "dim")
+    known = dim.select(*on, F.col(counted).alias("n_rows")) if counted else weights
+    if counted:
+        dim = dim.drop(counted)
     if small_enough(dim):
-        return fact.join(dim, list(on), how)
-    return spread_join(fact, dim, on, how, by, weights)
+        return fact.join(dim, on, how)
+    return spread_join(fact, dim, on, how, by, known)

@@ -133,9 +133,9 @@ def group_prop_filter(
     totals = reads.groupBy(*group).agg(
         F.sum("reads").alias("group_reads"), F.count(F.lit(1)).alias("n_rows")
     )
-    low = attach(
-        reads, totals.drop("n_rows"), group, "inner", by=["feature"], weights=totals.drop("group_reads")
-    ).filter(F.col("reads") < F.col("group_reads") * F.lit(prop_thresh))
+    low = attach(reads, totals, group, "inner", by=["feature"], counted="n_rows").filter(
+        F.col("reads") < F.col("group_reads") * F.lit(prop_thresh)
+    )
     bad = attach(
         low.select(*group, "feature"),
         blank_features.select("run", "feature").distinct(),

@@ -20,9 +20,7 @@ def with_totals(long: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Rows with the ``total`` of their (run, sample)."""
     keys = ["run", "sample"]
     totals = sample_totals(long) if totals is None else totals
-    return attach(
-        long, totals.select(*keys, "total"), keys, by=["feature"], weights=totals.select(*keys, "n_rows")
-    )
+    return attach(long, totals, keys, by=["feature"], counted="n_rows")
 
 
 def contam_vector(positives: DataFrame) -> DataFrame:
@@ -52,8 +50,8 @@ def contam_hist(vector: DataFrame, bins: int = 30) -> DataFrame:
     ends = vector.groupBy("run").agg(
         F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n_rows")
     )
-    spans = ends.select("run", "low", bin_width(F.col("low"), F.col("high"), bins).alias("width"))
-    placed = attach(vector, spans, ["run"], by=["feature"], weights=ends.select("run", "n_rows"))
+    spans = ends.select("run", "low", bin_width(F.col("low"), F.col("high"), bins).alias("width"), "n_rows")
+    placed = attach(vector, spans, ["run"], by=["feature"], counted="n_rows")
     return (
         placed.withColumn("bin", centred_bin(F.col("v"), F.col("low"), F.col("width")))
         .groupBy("run", "bin")

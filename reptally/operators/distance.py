@@ -11,17 +11,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reptally.functions.bins import centred_bin
 from reptally.functions.joins import attach, total_of
 from reptally.functions.numeric import normal_probability, normal_quantile
+from reptally.functions.storage import cut
 from reptally.operators.blanks import group_columns
 
 # sizes of the pieces that the distance step is cut into
 UNITS_PER_BLOCK = 1024
-ROWS_PER_TASK = 500_000
+ROWS_PER_TASK = 100_000
 
 # replicates of one group that the spatial median takes at once
 MEDIAN_LIMIT = 2000
@@ -45,11 +47,11 @@ def edna_index(
     sample_keys, feature_keys = list(sample_keys), list(feature_keys)
     size = F.count(F.lit(1)).alias("n_rows")
     totals = long.groupBy(*sample_keys).agg(F.sum("reads").alias("_total"), size)
-    shares = attach(
-        long, totals.drop("n_rows"), sample_keys, by=feature_keys, weights=totals.drop("_total")
-    ).withColumn("share", F.col("reads") / F.col("_total"))
+    shares = attach(long, totals, sample_keys, by=feature_keys, counted="n_rows").withColumn(
+        "share", F.col("reads") / F.col("_total")
+    )
     tops = shares.groupBy(*feature_keys).agg(F.max("share").alias("_top"), size)
-    scaled = attach(shares, tops.drop("n_rows"), feature_keys, by=sample_keys, weights=tops.drop("_top"))
+    scaled = attach(shares, tops, feature_keys, by=sample_keys, counted="n_rows")
     return scaled.withColumn("index", F.col("share") / F.col("_top")).select(*long.columns, "share", "index")
 
 
@@ -82,52 +84,62 @@ def unit_totals(values: DataFrame) -> DataFrame:
     )
 
 
-def _shared(rows: pd.DataFrame) -> pd.DataFrame:
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    coded = column.combine_chunks().dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def _shared(rows: pa.Table) -> pa.Table:
     """Sum of the smaller values over shared items, for the pairs of one piece.
 
     Sorted by item, rows at distance s are compared all at once for s = 1, 2, ...; a
     piece holds at most two blocks of units, which bounds the number of steps.
     """
-    grp, grp_names = pd.factorize(rows["grp"])
-    unit, _ = pd.factorize(pd.MultiIndex.from_arrays([grp, rows["unit"]]), sort=True)
-    item, _ = pd.factorize(pd.MultiIndex.from_arrays([grp, rows["item"]]))
-    # one entry per unit; units of a group follow each other in label order
-    at = np.zeros(unit.max() + 1, dtype=np.int64)
-    at[unit] = np.arange(len(unit))
-    unit_grp = grp[at]
+    grp, grp_names = _codes(rows["grp"])
+    names, unit_names = _codes(rows["unit"])
+    items, item_names = _codes(rows["item"])
+    # units in label order, so that the smaller label of a pair comes first
+    order = np.argsort(unit_names.to_numpy(zero_copy_only=False))
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    keys, at, unit = np.unique(grp * len(rank) + rank[names], return_index=True, return_inverse=True)
+    unit_grp = keys // len(rank)
     sizes = np.bincount(unit_grp, minlength=len(grp_names))
-    first = np.searchsorted(unit_grp, np.arange(len(grp_names)))
-    local = np.arange(len(at)) - first[unit_grp]
+    first = np.cumsum(sizes) - sizes
+    local = np.arange(len(keys)) - first[unit_grp]
     offset = np.concatenate([[0], np.cumsum(sizes * sizes)])
 
-    order = np.lexsort((unit, item))
-    item, unit = item[order], unit[order]
-    value = rows["value"].to_numpy()[order]
-    block = rows["block"].to_numpy()[order]
-    crossing = (rows["lo"].to_numpy() != rows["hi"].to_numpy())[order]
+    item = grp * len(item_names) + items
+    by_item = np.lexsort((unit, item))
+    item, unit = item[by_item], unit[by_item]
+    value = rows["value"].to_numpy()[by_item]
+    block = rows["block"].to_numpy()[by_item]
+    crossing = (rows["lo"].to_numpy() != rows["hi"].to_numpy())[by_item]
+    cells = offset[unit_grp] + local * sizes[unit_grp]
     sums = np.zeros(offset[-1])
+    left = np.arange(len(item))
     for s in range(1, len(item)):
-        same = np.flatnonzero(item[:-s] == item[s:])
-        if not same.size:
+        # rows whose item ends within s rows are done for good
+        left = left[: np.searchsorted(left, len(item) - s)]
+        left = left[item[left] == item[left + s]]
+        if not left.size:
             break
-        same = same[(block[same] != block[same + s]) | ~crossing[same]]
-        a, b = unit[same], unit[same + s]
-        cell = offset[unit_grp[a]] + local[a] * sizes[unit_grp[a]] + local[b]
-        np.add.at(sums, cell, np.minimum(value[same], value[same + s]))
+        pick = left[(block[left] != block[left + s]) | ~crossing[left]]
+        a, b = unit[pick], unit[pick + s]
+        np.add.at(sums, cells[a] + local[b], np.minimum(value[pick], value[pick + s]))
 
     hit = np.flatnonzero(sums)
     g = np.searchsorted(offset, hit, side="right") - 1
     rest = hit - offset[g]
-    a, b = first[g] + rest // sizes[g], first[g] + rest % sizes[g]
-    names, totals = rows["unit"].to_numpy(), rows["total"].to_numpy()
-    return pd.DataFrame(
+    a, b = at[first[g] + rest // sizes[g]], at[first[g] + rest % sizes[g]]
+    return pa.table(
         {
-            "grp": np.asarray(grp_names, dtype=object)[g],
-            "a": names[at[a]],
-            "b": names[at[b]],
+            "grp": rows["grp"].take(pa.array(a)),
+            "a": rows["unit"].take(pa.array(a)),
+            "b": rows["unit"].take(pa.array(b)),
             "shared": sums[hit],
-            "total_a": totals[at[a]],
-            "total_b": totals[at[b]],
+            "total_a": rows["total"].take(pa.array(a)),
+            "total_b": rows["total"].take(pa.array(b)),
         }
     )
 
@@ -151,18 +163,11 @@ def pair_distances(values: DataFrame, totals: DataFrame | None = None) -> DataFr
     sizes = (
         sizes.withColumn("blocks", blocks)
         .withColumn("buckets", F.greatest(F.lit(1), F.ceil(per_piece)))
-        .select("grp", "blocks", "buckets", F.col("n_units").alias("n_rows"))
+        .select("grp", "blocks", "buckets", "n_units")
     )
-    units = attach(totals, sizes.drop("n_rows"), ["grp"], "inner", by=["unit"], weights=sizes.select("grp", "n_rows"))
+    units = attach(totals, sizes, ["grp"], "inner", by=["unit"], counted="n_units")
     tiles = F.greatest(F.lit(1), F.ceil(total_of(totals, F.sum("n_rows")) / ROWS_PER_TASK))
-    rows = attach(
-        values,
-        units.drop("n_rows"),
-        ["grp", "unit"],
-        "inner",
-        by=["item"],
-        weights=units.select("grp", "unit", "n_rows"),
-    )
+    rows = attach(values, units, ["grp", "unit"], "inner", by=["item"], counted="n_rows")
     pieces = (
         rows.withColumn("tile", F.pmod(F.xxhash64("grp"), tiles))
         .withColumn("bucket", F.pmod(F.xxhash64("item"), F.col("buckets")))
@@ -181,7 +186,7 @@ def pair_distances(values: DataFrame, totals: DataFrame | None = None) -> DataFr
             "total",
         )
     )
-    sums = pieces.groupBy("tile", "bucket", "lo", "hi").applyInPandas(
+    sums = pieces.groupBy("tile", "bucket", "lo", "hi").applyInArrow(
         _shared, "grp string, a string, b string, shared double, total_a double, total_b double"
     )
     return (
@@ -200,7 +205,7 @@ def bray_curtis(
     long: DataFrame, unit: Sequence[str] = ("run", "sample"), item: str = "feature", value: str = "index"
 ) -> DataFrame:
     """Distances (a, b, dist) between all samples over features; unlisted pairs are at 1."""
-    return pair_distances(unit_values(long, unit, item, value)).drop("grp")
+    return pair_distances(cut(unit_values(long, unit, item, value), "values")).drop("grp")
 
 
 def location_columns(mode: str = "double") -> tuple[list[str], list[str]]:
@@ -217,7 +222,7 @@ def location_values(long: DataFrame, mode: str = "double", value: str = "index")
 
 def bray_curtis_within(long: DataFrame, mode: str = "double", value: str = "index") -> DataFrame:
     """Distances (grp, a, b, dist) between the replicates of each group, over taxa."""
-    return pair_distances(location_values(long, mode, value))
+    return pair_distances(cut(location_values(long, mode, value), "values"))
 
 
 def sample_units(long: DataFrame, columns: Sequence[str] = ("site", "bio_rep")) -> DataFrame:
@@ -347,19 +352,19 @@ def _centre_mean(pairs: DataFrame, units: DataFrame) -> DataFrame:
     # (grp, unit) is a key of both sides, so no task gets more than its share
     sums = attach(
         units.select("grp", "unit").join(near, ["grp", "unit"], "left"),
-        groups.select("grp", F.col("n_rows").alias("n_units")),
+        groups.withColumn("n_units", F.col("n_rows")),
         ["grp"],
         "inner",
         by=["unit"],
-        weights=groups,
+        counted="n_rows",
     ).withColumn(
         "_sq",
         F.coalesce("_sq", F.lit(0.0)) + F.col("n_units") - 1 - F.coalesce("_n", F.lit(0)),
     )
-    whole = sums.groupBy("grp").agg(F.sum("_sq").alias("_all"))
+    whole = sums.groupBy("grp").agg(F.sum("_sq").alias("_all"), F.count(F.lit(1)).alias("n_rows"))
     n = F.col("n_units").cast("double")
     squared = F.col("_sq") / n - F.col("_all") / (n * n * 2)
-    return attach(sums, whole, ["grp"], "inner", by=["unit"], weights=groups).select(
+    return attach(sums, whole, ["grp"], "inner", by=["unit"], counted="n_rows").select(
         "grp", "unit", F.sqrt(F.abs(squared)).alias("distance")
     )
 

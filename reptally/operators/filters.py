@@ -45,10 +45,8 @@ def drop_singletons(long: DataFrame, min_total: int = 1) -> DataFrame:
     totals = long.groupBy("feature").agg(
         F.sum("reads").alias("_total"), F.count(F.lit(1)).alias("n_rows")
     )
-    kept = totals.filter(F.col("_total") > min_total).select("feature")
-    return attach(
-        long, kept, ["feature"], "left_semi", by=["sample"], weights=totals.select("feature", "n_rows")
-    )
+    kept = totals.filter(F.col("_total") > min_total).drop("_total")
+    return attach(long, kept, ["feature"], "left_semi", by=["sample"], counted="n_rows")
 
 
 def keep_read_type(long: DataFrame, read_type: str) -> DataFrame:

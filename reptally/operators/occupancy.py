@@ -12,7 +12,7 @@ integrated on a fixed grid for each distinct set of parameters.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +60,9 @@ def presence_pattern(found: DataFrame, mode: str = "double") -> DataFrame:
     The pattern lists the replicates in label order, joined by dots, ``NA`` where the
     feature was not seen.
     """
-    cells = found.groupBy("feature", "taxon", "site", "bio_rep").agg(F.count(F.lit(1)).alias("n_det"))
+    # one shuffle serves both aggregates; a feature at a site has few rows, one per replicate
+    near = found.repartition("feature", "site")
+    cells = near.groupBy("feature", "taxon", "site", "bio_rep").agg(F.count(F.lit(1)).alias("n_det"))
     labels = total_of(found, F.array_sort(F.collect_set("bio_rep")))
     seen = cells.groupBy("feature", "taxon", "site").agg(
         F.map_from_entries(F.collect_list(F.struct("bio_rep", "n_det"))).alias("_seen"),
@@ -100,11 +102,9 @@ def model_rows(unique: DataFrame, found: DataFrame, mode: str = "double") -> Dat
     """Rows of the model: N detections out of K for each representative (and biological replicate)."""
     if mode == "single":
         return unique.select("feature", "site", F.lit("all").alias("bio_rep"), "k", F.col("detections").alias("n"))
-    counts = detection_counts(found, mode).select("feature", "site", "bio_rep", F.col("n_det").alias("n"))
-    # at most one representative per (feature, site) and one row per replicate: no hot keys
-    return counts.join(unique.select("feature", "site", "k"), ["feature", "site"]).select(
-        "feature", "site", "bio_rep", "k", "n"
-    )
+    # a representative is one (feature, site), which has one row per replicate: no hot keys
+    own = found.join(unique.select("feature", "site", "k"), ["feature", "site"])
+    return own.groupBy("feature", "site", "bio_rep", "k").agg(F.count(F.lit(1)).alias("n"))
 
 
 def occupancy_fit(rows: DataFrame) -> DataFrame:
@@ -122,13 +122,12 @@ def occupancy_fit(rows: DataFrame) -> DataFrame:
         (F.sum(miss * failed) + PRIOR_P10[1]).alias("b_p10"),
         F.count(F.lit(1)).alias("n_rows"),
     )
-    weights = kind.select("feature", "n_rows")
     placed = rows.join(place, ["feature", "site"])
-    return attach(placed, kind.drop("n_rows"), ["feature"], "inner", by=["site", "bio_rep"], weights=weights)
+    return attach(placed, kind, ["feature"], "inner", by=["site", "bio_rep"], counted="n_rows")
 
 
-def _nodes(a: str, b: str, grid: int, power: int = 1) -> Column:
-    """Grid points of a Beta(a, b) within 8 deviations of its mean, with logs of their weights.
+def _nodes(a: str, b: str, grid: int, power: int, effect: Callable[[Column], Column]) -> Column:
+    """Grid points of a Beta(a, b) within 8 deviations of its mean: log weight and effect.
 
     ``power`` packs the points towards 0, by even spacing of the root.
     """
@@ -142,11 +141,17 @@ def _nodes(a: str, b: str, grid: int, power: int = 1) -> Column:
         t = low + (high - low) * ((i + F.lit(0.5)) / F.lit(float(grid)))
         x = t if power == 1 else F.pow(t, F.lit(float(power)))
         log_weight = (p - 1) * F.ln(x) + (q - 1) * F.ln(F.lit(1.0) - x) + F.lit(power - 1.0) * F.ln(t)
-        return F.struct(x.alias("x"), log_weight.alias("lw"))
+        return F.struct(log_weight.alias("lw"), effect(x).alias("e"))
 
     return F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), node)
 
 
+def _weighted(nodes: str) -> Column:
+    """Nodes with weights in place of their logs, the largest weight being 1."""
+    top = F.array_max(F.transform(nodes, lambda v: v["lw"]))
+    return F.transform(nodes, lambda v: F.struct(F.exp(v["lw"] - top).alias("w"), v["e"].alias("e")))
+
+
 def occupancy_prob(fit: DataFrame, grid: int = 32) -> DataFrame:
     """Posterior mean and standard deviation of the occupancy probability of every row.
 
@@ -156,35 +161,33 @@ def occupancy_prob(fit: DataFrame, grid: int = 32) -> DataFrame:
     keys = ["k", "n", *PARAMETERS]
     tasks = int(fit.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = fit.select(*keys).distinct().repartition(tasks, *keys)
-    names = {"psi": 1, "p11": 1, "p10": 3}
-    cells = sets
-    for name, power in names.items():
-        cells = cells.withColumn(name, _nodes(f"a_{name}", f"b_{name}", grid, power))
-    for name in names:
-        top = F.array_max(F.transform(name, lambda v: v["lw"]))
-        cells = cells.withColumn(f"top_{name}", top)
     k, n = F.col("k"), F.col("n")
 
+    def log_odds(x: Column) -> Column:
+        return F.ln(F.lit(1.0) - x) - F.ln(x)
+
     def log_likelihood(x: Column) -> Column:
         return n * F.ln(x) + (k - n) * F.ln(F.lit(1.0) - x)
 
-    cells = (
-        cells.withColumn("psi", F.explode("psi"))
-        .withColumn("w", F.exp(F.col("psi.lw") - F.col("top_psi")))
-        .withColumn("odds", F.ln(F.lit(1.0) - F.col("psi.x")) - F.ln("psi.x"))
-        .drop("psi", "top_psi")
-        .withColumn("p11", F.explode("p11"))
-        .withColumn("w", F.col("w") * F.exp(F.col("p11.lw") - F.col("top_p11")))
-        .withColumn("odds", F.col("odds") - log_likelihood(F.col("p11.x")))
-        .drop("p11", "top_p11")
-        .withColumn("p10", F.explode("p10"))
-        .withColumn("w", F.col("w") * F.exp(F.col("p10.lw") - F.col("top_p10")))
-        .withColumn("odds", F.col("odds") + log_likelihood(F.col("p10.x")))
-        .withColumn("r", F.lit(1.0) / (F.lit(1.0) + F.exp("odds")))
+    nodes = sets.select(
+        *keys,
+        _nodes("a_psi", "b_psi", grid, 1, log_odds).alias("psi"),
+        _nodes("a_p11", "b_p11", grid, 1, log_likelihood).alias("p11"),
+        _nodes("a_p10", "b_p10", grid, 3, log_likelihood).alias("p10"),
     )
-    sums = cells.groupBy(*keys).agg(
-        (F.sum(F.col("w") * F.col("r")) / F.sum("w")).alias("mean"),
-        (F.sum(F.col("w") * F.col("r") * F.col("r")) / F.sum("w")).alias("_square"),
+    points = nodes.select(*keys, *[_weighted(c).alias(c) for c in ("psi", "p11", "p10")])
+    # the arrays are never empty; the outer form spares a filter that builds them once more
+    for c in ("psi", "p11", "p10"):
+        points = points.withColumn(c, F.explode_outer(c))
+    w = F.col("psi.w") * F.col("p11.w") * F.col("p10.w")
+    r = F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("psi.e") - F.col("p11.e") + F.col("p10.e")))
+    sums = (
+        points.select(*keys, w.alias("w"), r.alias("r"))
+        .groupBy(*keys)
+        .agg(
+            (F.sum(F.col("w") * F.col("r")) / F.sum("w")).alias("mean"),
+            (F.sum(F.col("w") * F.col("r") * F.col("r")) / F.sum("w")).alias("_square"),
+        )
     )
     spread = F.sqrt(F.greatest(F.lit(0.0), F.col("_square") - F.col("mean") * F.col("mean")))
     return attach(fit, sums.withColumn("sd", spread).drop("_square"), keys, "inner", by=["feature", "site", "bio_rep"])
@@ -211,13 +214,8 @@ def pattern_occupancy(unique: DataFrame, best: DataFrame) -> DataFrame:
 def attach_occupancy(patterns: DataFrame, scored: DataFrame) -> DataFrame:
     """Every feature and site gets the probability of its (K, pattern)."""
     keys = ["k", "pattern"]
-    return attach(
-        patterns,
-        scored.select(*keys, "occupancy"),
-        keys,
-        by=["feature", "site"],
-        weights=scored.select(*keys, "n_rows"),
-    )
+    best = scored.select(*keys, "occupancy", "n_rows")
+    return attach(patterns, best, keys, by=["feature", "site"], counted="n_rows")
 
 
 def occupancy_cutoffs(scored: DataFrame, mode: str = "double") -> DataFrame:

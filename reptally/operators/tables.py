@@ -26,7 +26,7 @@ def to_proportion(long: DataFrame, keys: Sequence[str] = ("run", "sample"), valu
     """Share of each sample's total; a sample without reads stays at 0."""
     keys = list(keys)
     totals = long.groupBy(*keys).agg(F.sum(value).alias("_total"), F.count(F.lit(1)).alias("n_rows"))
-    rows = attach(long, totals.drop("n_rows"), keys, by=["taxon"], weights=totals.drop("_total"))
+    rows = attach(long, totals, keys, by=["taxon"], counted="n_rows")
     share = F.coalesce(F.try_divide(F.col(value).cast("double"), F.col("_total")), F.lit(0.0))
     return rows.withColumn("share", share).select(*long.columns, "share")
 
@@ -35,13 +35,8 @@ def scale_by_max(long: DataFrame, keys: Sequence[str] = ("taxon",), value: str =
     """Values divided by the taxon's largest one."""
     keys = list(keys)
     tops = long.groupBy(*keys).agg(F.max(value).alias("_top"), F.count(F.lit(1)).alias("n_rows"))
-    rows = attach(
-        long,
-        tops.drop("n_rows"),
-        keys,
-        by=[c for c in long.columns if c not in keys],
-        weights=tops.drop("_top"),
-    )
+    others = [c for c in long.columns if c not in keys]
+    rows = attach(long, tops, keys, by=others, counted="n_rows")
     scaled = F.coalesce(F.try_divide(F.col(value), F.col("_top")), F.lit(0.0))
     return rows.withColumn("index", scaled).select(*[c for c in long.columns if c != "index"], "index")
 

@@ -418,6 +418,56 @@ block(
     "SELECT min(occupancy) AS low, (max(occupancy) - min(occupancy)) / 29.0 AS width FROM o_results",
 )
 
+# whole runs
+
+
+def run_blocks(p: str, mode: str, thresh: float, cutoff: str) -> None:
+    """Blocks for steps 2 to 5 on top of step 1, and the log of all six stages."""
+    group = "site, bio_rep" if mode == "double" else "site"
+    grp = GROUP if mode == "double" else "run || ':' || site"
+    unit = UNIT if mode == "double" else GROUP
+    last = "tech_rep" if mode == "double" else "bio_rep"
+    block(f"{p}depth", depth_sql("step1"))
+    gamma_blocks(p, f"{p}depth")
+    block(f"{p}bad", f"SELECT sample FROM {p}prob WHERE prob < 0.05 OR tot < 2400")
+    block(f"{p}step2", f"SELECT * FROM step1 WHERE sample NOT IN (SELECT sample FROM {p}bad)")
+    block(f"{p}r1", clean_round_sql(f"{p}step2", "profile"))
+    block(f"{p}r2", clean_round_sql(f"{p}r1", "profile"))
+    block(f"{p}sizes", sizes_sql(f"{p}step2", group))
+    block(f"{p}zero", zero_filter_sql(f"{p}r2", "blanks", f"{p}sizes", thresh, group))
+    block(f"{p}step3", prop_filter_sql(f"{p}zero", "blanks", 5e-5, group))
+    block(f"{p}found", found_sql(f"{p}step3", mode))
+    occupancy_blocks(f"{p}o_", f"{p}found", mode)
+    block(
+        f"{p}kept",
+        f"SELECT taxon FROM {p}o_results, {p}o_cutoffs WHERE round(occupancy, 9) >= round({cutoff}, 9)",
+    )
+    block(f"{p}step4", f"SELECT * FROM {p}step3 WHERE taxon IN (SELECT taxon FROM {p}kept)")
+    block(f"{p}indexed", index_sql(f"{p}step4"))
+    block(
+        f"{p}several",
+        f"""SELECT * FROM {p}indexed SEMI JOIN (SELECT run, {group} FROM {p}indexed GROUP BY run, {group}
+            HAVING count(DISTINCT {last}) > 1) USING (run, {group})""",
+    )
+    block(f"{p}values", values_sql(f"{p}several", grp, unit, "taxon"))
+    block(f"{p}pairs", pairs_sql(f"{p}values"))
+    block(f"{p}centres", centres_sql(f"{p}values", f"{p}pairs"))
+    block(f"{p}outliers", outliers_sql(f"{p}centres", 0.975))
+    block(f"{p}step5", f"SELECT * FROM {p}step4 WHERE {unit} NOT IN (SELECT unit FROM {p}outliers)")
+    stages = {
+        "samples": "Step_0",
+        "step1": "Step_1.Jump",
+        f"{p}step2": "Step_2.Low.Read.Depth",
+        f"{p}step3": "Step_3.microDecon",
+        f"{p}step4": "Step_4.Occupancy",
+        f"{p}step5": "Step_5.Dissimilarity",
+    }
+    block(f"{p}log", " UNION ALL ".join(summary_sql(rows, stage) for rows, stage in stages.items()))
+
+
+run_blocks("w_", "double", 0.7, "som_min_threshold_1")
+run_blocks("ws_", "single", 0.9, "som_min_threshold_2")
+
 KEYS = "run, sample, feature, taxon, reads"
 
 STATEMENTS: dict[str, str] = {
@@ -550,6 +600,12 @@ STATEMENTS: dict[str, str] = {
     "site_reads": wide_sql("by_site", "taxon", "site", "reads"),
     "site_index": wide_sql("site_shares", "taxon", "site", "index", "round({}, 6)"),
     "attach_taxon": "SELECT * FROM summed",
+    "cleaned_log": "SELECT * FROM w_log",
+    "cleaned_counts": "SELECT * FROM w_step5",
+    "cleaned_site_index": """SELECT taxon, site, round(share / max(share) OVER (PARTITION BY taxon), 6) AS index FROM (
+        SELECT *, mean_reads / sum(mean_reads) OVER (PARTITION BY site) AS share FROM (
+        SELECT taxon, site, avg(reads) AS mean_reads FROM w_step5 GROUP BY ALL))""",
+    "cleaned_single_log": "SELECT * FROM ws_log",
 }
 
 ORACLES: dict[str, str] = {name: with_blocks(sql) for name, sql in STATEMENTS.items()}

@@ -16,6 +16,7 @@ from reptally.operators import filters as fl
 from reptally.operators import occupancy as oc
 from reptally.operators import steplog as sl
 from reptally.operators import tables as tb
+from reptally.plans.clean import Options, clean
 from reptally.sources import output, star, wide
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +42,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def sheet(spark: SparkSession, d: str) -> DataFrame:
-    """The sample sheet as a written table, so that joins are planned on its true size."""
-    return cut(star.sheet(spark, d), "sheet")
+    return star.sheet(spark, d)
 
 
 def merged(spark: SparkSession, d: str) -> DataFrame:
@@ -658,3 +658,30 @@ def _(spark, d):
     dim = cut(wide.taxon_dim(wide.taxon_key(rows)), "taxa")
     numbered = rows.join(dim, "taxon").groupBy("taxon_id", "sample").agg(F.sum("reads").alias("reads"))
     return tb.attach_taxon(numbered, dim)
+
+
+# whole runs
+
+WHOLE = Options(min_reads=2400, centre="mean")
+
+
+@query("cleaned_log")
+def _(spark, d):
+    return clean(star.counts(spark, d), star.sheet(spark, d), WHOLE).log
+
+
+@query("cleaned_counts")
+def _(spark, d):
+    return clean(star.counts(spark, d), star.sheet(spark, d), WHOLE).steps[-1]
+
+
+@query("cleaned_site_index")
+def _(spark, d):
+    done = clean(star.counts(spark, d), star.sheet(spark, d), WHOLE)
+    return rounded(done.results["post_occ_site_averaged_sum.taxonomy_e_index"])
+
+
+@query("cleaned_single_log")
+def _(spark, d):
+    single = Options(min_reads=2400, centre="mean", mode="single", thresh=0.9, cutoff=oc.CUTOFFS[1])
+    return clean(star.counts(spark, d), star.sheet(spark, d), single).log

@@ -21,11 +21,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def counts(spark: SparkSession, folder: str) -> DataFrame:
     """(run, sample, feature, taxon, reads) with all read types."""
-    other = F.element_at(
-        F.array(F.lit("forward"), F.lit("reverse"), F.lit("unmerged")),
-        (F.col("l_linenumber") % 3 + 1).cast("int"),
-    )
-    kind = F.when(F.col("l_returnflag").isin("A", "N"), F.lit("merged")).otherwise(other)
+    kind = F.when(F.col("l_returnflag").isin("A", "N"), 3).otherwise(F.col("l_linenumber") % 3)
+    read_type = F.when(F.col("kind") == 0, "forward").when(F.col("kind") == 1, "reverse").when(
+        F.col("kind") == 2, "unmerged"
+    ).otherwise("merged")
     cells = (
         table(spark, folder, "lineitem")
         .select("l_linestatus", "l_suppkey", "l_partkey", kind.alias("kind"), "l_quantity")
@@ -38,7 +37,7 @@ def counts(spark: SparkSession, folder: str) -> DataFrame:
     return attach(cells, parts, ["l_partkey"], "inner", by=["l_suppkey"]).select(
         F.col("l_linestatus").alias("run"),
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("sample"),
-        F.concat_ws("_", "kind", "l_linestatus", F.col("l_partkey").cast("string")).alias("feature"),
+        F.concat_ws("_", read_type, "l_linestatus", F.col("l_partkey").cast("string")).alias("feature"),
         "taxon",
         "reads",
     )
