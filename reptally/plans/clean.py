@@ -85,10 +85,10 @@ def occupancy(found: DataFrame, options: Options, run: _Run) -> tuple[DataFrame,
     patterns = run.keep(oc.presence_pattern(found, options.level), "patterns")
     unique = run.keep(oc.unique_patterns(patterns), "unique_patterns")
     fit = run.keep(oc.occupancy_fit(oc.model_rows(unique, found, options.level)), "occupancy_fit")
-    probs = run.keep(oc.occupancy_prob(fit, options.grid), "occupancy_prob")
+    probs = oc.occupancy_prob(fit, options.grid)
     scored = run.keep(oc.pattern_occupancy(unique, oc.site_max_occupancy(probs)), "scored_patterns")
     results = run.keep(oc.attach_occupancy(patterns, scored), "occupancy")
-    return results, run.keep(oc.occupancy_cutoffs(scored, options.level), "cutoffs")
+    return results, oc.occupancy_cutoffs(scored, options.level)
 
 
 def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, folder: str | None = None) -> Cleaned:
@@ -116,12 +116,11 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
     # step 2
     depth = run.keep(dp.sample_depth(step1), "depth")
     bad = dp.depth_outliers(depth, dp.gamma_fit(depth), options.depth_prob, options.min_reads)
-    bad = run.keep(bad, "depth_outliers")
     step2 = run.keep(dp.drop_samples(step1, bad), "step_2", ["run"])
 
     # step 3
     blanks = parts[fl.BLANKS]
-    known = run.keep(blanks.select("run", "feature").distinct(), "blank_features")
+    known = blanks.select("run", "feature").distinct()
     sizes = run.keep(bl.group_sizes(step2, mode=level), "group_sizes")
     taken = run.keep(bl.blank_subtract(step2, blanks, options.runs, options.anchor_rank), "subtracted")
     taken = run.keep(bl.group_zero_filter(taken, known, sizes, options.thresh, level), "zero_filtered")
@@ -134,7 +133,7 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
     else:
         found = run.keep(oc.detections(step3, level), "detections")
         scored, cutoffs = occupancy(found, options, run)
-        kept = run.keep(oc.occupancy_filter(scored, cutoffs, options.cutoff), "occupancy_kept")
+        kept = oc.occupancy_filter(scored, cutoffs, options.cutoff)
         step4 = run.keep(oc.keep_taxa(step3, kept), "step_4", ["run"])
         side |= {
             OCCUPANCY_ALL: scored,
@@ -150,7 +149,7 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
     units = run.keep(ds.unit_totals(values), "replicates")
     pairs = run.keep(ds.pair_distances(values, units), "replicate_pairs")
     centres = run.keep(ds.centroid_distance(pairs, units, options.centre), "centre_distances")
-    out = run.keep(ds.distance_outliers(centres, options.dist_prob), "distance_outliers")
+    out = ds.distance_outliers(centres, options.dist_prob)
     step5 = run.keep(ds.drop_replicates(step4, out, level), "step_5", ["run"])
 
     steps = [step0, step1, step2, step3, step4, step5]
