@@ -166,7 +166,8 @@ def test_median_refuses_large_groups(spark, monkeypatch):
 
 
 def test_pairs_per_group(spark):
-    values = spark.createDataFrame(random_values({"p": (5, 6), "q": (3, 6)}), VALUES)
+    cells = [(g, f"{g}{i}", f"own{i}", 1.0) for g, n in (("p", 5), ("q", 3)) for i in range(n)]
+    values = spark.createDataFrame(cells, VALUES)
     assert rows(ds.pairs_per_group(ds.unit_totals(values))) == [("p", 10), ("q", 3)]
 
 
