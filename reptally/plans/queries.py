@@ -71,13 +71,8 @@ def _wide_file(spark: SparkSession, d: str) -> str:
     """The merged counts of one run as a tab-separated wide table in the shared folder."""
     raw = F.concat(F.lit("lib."), F.substring("sample", 2, 20), F.lit(".S1"))
     long = merged(spark, d).filter(F.col("run") == "F").withColumn("raw_name", raw)
-    table = output.to_wide(long, ["feature", "taxon"], "raw_name", "reads")
-    names = [c for c in table.columns if c not in ("feature", "taxon")]
-    table = table.select(
-        F.col("feature").alias(wide.FEATURE_HEADER),
-        *[F.col(f"`{c}`") for c in names],
-        F.col("taxon").alias(wide.TAXON_HEADER),
-    )
+    table = output.to_wide(cut(long, "run"), ["feature", "taxon"], "raw_name", "reads")
+    table = table.withColumnsRenamed({"feature": wide.FEATURE_HEADER, "taxon": wide.TAXON_HEADER})
     path = new_path(spark, "wide")
     table.write.option("header", True).option("sep", "\t").csv(path)
     return path

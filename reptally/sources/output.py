@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reptally.functions.storage import cut
+from reptally.sources.wide import quoted
 
 
 class TooWide(ValueError):
@@ -46,10 +47,9 @@ def to_wide(
             raise
         return long.groupBy(*index, column).agg(F.sum(value).alias(value))
     wide = long.groupBy(*index).pivot(column, columns).agg(F.sum(value))
-    return wide.select(
-        *index,
-        *[F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(long.schema[value].dataType)).alias(c) for c in columns],
-    )
+    kind = wide.dtypes[-1][1]
+    cells = [f"coalesce({quoted(c)}, cast(0 as {kind})) as {quoted(c)}" for c in columns]
+    return wide.selectExpr(*[quoted(c) for c in index], *cells)
 
 
 def write_csv(df: DataFrame, path: str, order: Sequence = ()) -> str:

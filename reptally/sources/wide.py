@@ -29,6 +29,10 @@ MISSING = "NA"
 RUN_PATTERN = "^[a-z]+_(.*)_[0-9]+$"
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _numbered(name: str, nth: int) -> str:
     return name if nth == 1 else f"{name}#{nth}"
 
@@ -84,11 +88,15 @@ def to_long(wide: DataFrame, ids: Sequence[str] = ("feature", "taxon")) -> DataF
     """Every other column becomes a row (ids, sample, reads); missing counts are 0."""
     ids = list(ids)
     values = [c for c in wide.columns if c not in ids]
-    quoted = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in wide.columns]
-    long = wide.select(*quoted).unpivot(
-        ids, [F.col("`" + c.replace("`", "``") + "`") for c in values], "sample", "reads"
+    # one array expression stays small to plan for thousands of columns, where an unpivot
+    # needs one projection for each
+    cells = F.expr("array(" + ", ".join(quoted(c) for c in values) + ")")
+    names = F.split(F.lit("\t".join(values)), "\t")
+    return wide.select(*ids, F.posexplode(cells).alias("_at", "_cell")).select(
+        *ids,
+        F.element_at(names, F.col("_at") + 1).alias("sample"),
+        F.coalesce(F.col("_cell").try_cast("bigint"), F.lit(0)).alias("reads"),
     )
-    return long.withColumn("reads", F.coalesce(F.col("reads").try_cast("bigint"), F.lit(0)))
 
 
 def run_label(long: DataFrame, pattern: str = RUN_PATTERN) -> DataFrame:

@@ -45,6 +45,16 @@ def test_single_mode(start):
     assert rows(oc.model_rows(unique, found, "single"), "feature", "k", "n") == [("f", 2, 2), ("g", 2, 1), ("h", 2, 1)]
 
 
+@pytest.mark.parametrize("mode", ["double", "single"])
+def test_short_patterns_tell_the_same_apart(start, monkeypatch, mode):
+    found = oc.detections(start, mode)
+    full = rows(oc.presence_pattern(found, mode), "feature", "site", "pattern", "k")
+    monkeypatch.setattr(oc, "LABEL_LIMIT", 1)
+    short = rows(oc.presence_pattern(found, mode), "feature", "site", "pattern", "k")
+    assert len({(f[2], s[2]) for f, s in zip(full, short)}) == len({f[2] for f in full}) == len({s[2] for s in short})
+    assert ("g", "T", "A=1", 2) in short
+
+
 def test_detection_counts(start):
     assert rows(oc.detection_counts(oc.detections(start)).filter("feature = 'f'"), "bio_rep", "n_det") == [("A", 2), ("B", 1)]
     single = oc.detection_counts(oc.detections(start, "single"), "single")
