@@ -74,7 +74,8 @@ def spread_join(
     on = list(on)
     pieces = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     by = list(by) or [c for c in fact.columns if c not in on]
-    hot = hot_keys(key_weights(fact, on) if weights is None else weights, on, pieces)
+    # written once: a handful of rows that both sides read
+    hot = cut(hot_keys(key_weights(fact, on) if weights is None else weights, on, pieces), "hot")
     spread = F.xxhash64(*by)
     no_key = F.lit(False)
     for c in on:

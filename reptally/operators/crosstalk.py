@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reptally.functions.bins import bin_width, centred_bin
-from reptally.functions.joins import attach
+from reptally.functions.joins import attach, key_weights
 
 
 def sample_totals(long: DataFrame) -> DataFrame:
@@ -36,7 +36,9 @@ def subtract_proportional(
     samples: DataFrame, vector: DataFrame, totals: DataFrame | None = None
 ) -> DataFrame:
     """Take ``ceil(v * sample total)`` off every feature in the vector; keep what is left."""
-    rows = attach(with_totals(samples, totals), vector, ["run", "feature"], by=["sample"])
+    keys = ["run", "feature"]
+    # the first join keeps every row once, so keys are weighed on the rows before it
+    rows = attach(with_totals(samples, totals), vector, keys, by=["sample"], weights=key_weights(samples, keys))
     jumped = F.ceil(F.col("v") * F.col("total"))
     return (
         rows.withColumn("reads", F.col("reads") - F.coalesce(jumped, F.lit(0)))
