@@ -12,6 +12,8 @@ id stays null; an empty table gives no piece; extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import sys
+import types
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,30 +32,64 @@ SLACK = 32
 END_ID = 1
 #: Windows of so many partitions are merged in one task.
 MERGED = 64
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 300_000
+_JOINED = 200
+#: Marks that, after a word of letters, are a token run of their own; no apostrophe, no < or |.
+_MARKS = "!#$%&*~^.,;:?"
 _END = np.array([END_ID], "<u4").tobytes()
-_cache: dict[str, tuple[object, dict[str, bytes]]] = {}
+
+
+def _worker(tokenizer: str) -> tuple:
+    """Tokenizer, its ids that end a word, and ids of known words: one of each per Python
+    worker, which Spark uses for many tasks."""
+    held = vars(sys.modules.setdefault("_packing_words", types.ModuleType("_packing_words")))
+    if tokenizer not in held:
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(tokenizer)
+        ends = np.zeros(model.get_vocab_size(), bool)
+        for token, k in model.get_vocab().items():
+            ends[k] = token.endswith("</w>")
+        held[tokenizer] = (model, ends, {})
+    return held[tokenizer]
+
+
+def _encode(words: list[str], model, ends: np.ndarray, known: dict[str, bytes]) -> None:
+    """Adds the ids of ``words`` to ``known``. A word of letters is one run up to its end, so
+    many are encoded as one text and told apart by their ends; where that doesn't give one end a
+    word, and for all other words, each is encoded alone."""
+    plain = [w for w in words if w.isalpha()]
+    alone = [w for w in words if not w.isalpha()]
+    groups = [plain[k : k + _JOINED] for k in range(0, len(plain), _JOINED)]
+    for group, e in zip(groups, model.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, "<u4")
+        last = np.flatnonzero(ends[ids])
+        if len(last) == len(group) and (not len(ids) or last[-1] == len(ids) - 1):
+            data, at = ids.tobytes(), 0
+            for w, k in zip(group, (4 * (last + 1)).tolist(), strict=True):
+                known[w], at = data[at:k], k
+        else:
+            alone += group
+    for w, e in zip(alone, model.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+        known[w] = np.array(e.ids, "<u4").tobytes()
 
 
 def token_bytes(texts: list[str | None], tokenizer: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers, without special ids.
 
-    The tokenizer drops white space and never joins what it separates, so that the ids of a
-    text are those of its words; words that come again are looked up.
+    The tokenizer drops white space and never joins what it separates, nor letters and marks, so
+    that the ids of a text are those of its words; words that come again are looked up.
     """
-    if tokenizer not in _cache:
-        from tokenizers import Tokenizer
-
-        _cache[tokenizer] = (Tokenizer.from_file(tokenizer), {})
-    model, known = _cache[tokenizer]
+    model, ends, known = _worker(tokenizer)
     words = [(t or "").replace("\n", " ").split(" ") for t in texts]
     if len(known) > _CACHED_WORDS:
         known.clear()
-    new = list({w for ws in words for w in ws if w not in known})
-    for at in range(0, len(new), 20_000):
-        part = new[at : at + 20_000]
-        for w, e in zip(part, model.encode_batch(part, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+    new = set().union(*words) - known.keys()
+    split = {w: (c.lower() if c.isascii() else c, w[len(c) :]) for w in new if (c := w.rstrip(_MARKS)).isalpha()}
+    parts = {p for pair in split.values() for p in pair} | (new - split.keys())
+    _encode(list(parts - known.keys()), model, ends, known)
+    for w, (core, marks) in split.items():
+        known[w] = known[core] + known[marks]
     return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 

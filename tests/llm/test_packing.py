@@ -68,5 +68,5 @@ def test_windows_are_bounded_and_best_fit():
 
 
 def test_words_one_by_one_are_the_whole_text(ids):
-    texts = ["It's  a\n\ntest of HELLO's <|endoftext|>x y z   é é ΣΑΣ 12a", "", None, " ́a"]
+    texts = ["It's  a\n\ntest of HELLO's <|endoftext|>x y z   é é ΣΑΣ 12a", "", None, " ́a", "the*** The&&& THE, no.. a<b> x|y İstanbul ŞİŞ Å क़ ﬁn ǆ", "don't can't's 'll b's!"]
     assert [np.frombuffer(b, "<u4").tolist() for b in packing.token_bytes(texts, PATH)] == [ids(t)[:-1] for t in texts]
