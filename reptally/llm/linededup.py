@@ -139,7 +139,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = Fals
     text, n_lines_deleted) instead of all columns."""
     gone = cuts(docs, min_words)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("h"))
-    joined = rows.join(gone, same_row(rows, gone, "id", "h"), "left").select(rows["row"], "gone")
+    # rows of unique keys: a shuffle that grows as the input does, at every size
+    joined = rows.join(gone.hint("merge"), same_row(rows, gone, "id", "h"), "left").select(rows["row"], "gone")
     left = F.array_join(F.filter(F.split(F.col("row")["text"], "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("row")["text"]).otherwise(left)
     if report:

@@ -320,7 +320,7 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
         ruled.groupBy("rk", "id").agg(F.max((F.col("rk") == F.col("kept.rk")) & F.col("id").eqNullSafe(F.col("kept.id"))).alias("stays"), F.count(F.lit(1)).alias("copies")),
         "ruled",
     )
-    joined = rows.join(ruled.alias("r"), same_row(rows, ruled, "rk", "id"), "left").select(rows["row"], rows["rk"], "stays", "copies")
+    joined = rows.join(ruled.hint("merge"), same_row(rows, ruled, "rk", "id"), "left").select(rows["row"], rows["rk"], "stays", "copies")
     left = joined.filter(F.coalesce("stays", F.lit(True)))
     if not ruled.filter("stays and copies > 1").isEmpty():  # a row that comes several times stays once
         left = left.filter("coalesce(copies, 1) = 1").unionByName(left.filter("copies > 1").dropDuplicates(["rk"]))
