@@ -1,12 +1,11 @@
 """Written tables that cut lineage.
 
-The cluster names its shared folder in ``spark.checkpoint.dir``; a folder of our own is
-set only where that is unset, as in tests.
+The cluster names its shared folder in ``spark.checkpoint.dir``; where that is unset, the
+warehouse, which is shared too, takes its place.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +16,7 @@ _KEY = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_KEY} to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="reptally-")
-        spark.conf.set(_KEY, folder)
+        folder = spark.conf.get("spark.sql.warehouse.dir")
     return folder
 
 

@@ -6,11 +6,9 @@ is not listed. Everything that needs such pairs counts them from group sizes.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +23,6 @@ from reptally.operators.blanks import group_columns
 UNITS_PER_BLOCK = 1024
 ROWS_PER_TASK = 100_000
 
-# replicates of one group that the spatial median takes at once
-MEDIAN_LIMIT = 2000
 
 # fixed values: classes of pairs, in their order
 CLASSES = ("PCR.replicates", "Biol.replicates", "Same Barcode Different Site", "Different Barcode")
@@ -369,83 +365,16 @@ def _centre_mean(pairs: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
-def _spatial_median(points: np.ndarray) -> np.ndarray:
-    """Point with the smallest sum of distances, by Weiszfeld's iteration."""
-    centre = points.mean(axis=0)
-    for _ in range(2000):
-        gap = np.maximum(np.linalg.norm(points - centre, axis=1), 1e-12)
-        new = (points / gap[:, None]).sum(axis=0) / (1 / gap).sum()
-        if np.linalg.norm(new - centre) < 1e-10:
-            return new
-        centre = new
-    return centre
-
-
-def median_distances(dist: np.ndarray) -> np.ndarray:
-    """Distances of the points of one group to its spatial median in principal coordinates.
-
-    Axes with negative eigenvalues form a part of their own and count against the rest.
-    """
-    n = len(dist)
-    if n == 2:
-        return np.full(2, dist[0, 1] / 2)
-    square = dist * dist
-    inner = -0.5 * (square - square.mean(axis=0) - square.mean(axis=1)[:, None] + square.mean())
-    values, vectors = np.linalg.eigh(inner)
-    kept = np.abs(values) > math.sqrt(np.finfo(float).eps) * max(np.abs(values).max(), 1e-300)
-    axes = vectors[:, kept] * np.sqrt(np.abs(values[kept]))
-    out = np.zeros(n)
-    for sign in (1, -1):
-        part = axes[:, np.sign(values[kept]) == sign]
-        if part.shape[1]:
-            out += sign * ((part - _spatial_median(part)) ** 2).sum(axis=1)
-    return np.sqrt(np.abs(out))
-
-
-def _centre_median(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    sizes = units.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
-    # the scalar is known before any group is gathered, so a group too large stops the job here
-    refusal = F.raise_error(
-        F.concat(F.col("grp"), F.lit(f" has more than {MEDIAN_LIMIT} replicates; use kind='mean'"))
-    )
-    cells = F.when(F.col("_n") > MEDIAN_LIMIT, refusal.cast("bigint")).otherwise(F.col("_n") * F.col("_n"))
-    tiles = F.greatest(F.lit(1), F.ceil(total_of(sizes, F.sum(cells)) / ROWS_PER_TASK))
-    # a unit enters as a pair with itself
-    entries = pairs.select("grp", "a", "b", "dist").unionByName(
-        units.select("grp", F.col("unit").alias("a"), F.col("unit").alias("b"), F.lit(0.0).alias("dist"))
-    )
-
-    def centre(rows: pd.DataFrame) -> pd.DataFrame:
-        def parts() -> Iterator[pd.DataFrame]:
-            for grp, some in rows.groupby("grp"):
-                names = np.sort(some["a"][some["a"] == some["b"]].unique())
-                dist = 1.0 - np.eye(len(names))
-                a, b = np.searchsorted(names, some["a"]), np.searchsorted(names, some["b"])
-                dist[a, b] = dist[b, a] = some["dist"].to_numpy()
-                yield pd.DataFrame({"grp": grp, "unit": names, "distance": median_distances(dist)})
-
-        return pd.concat(parts(), ignore_index=True)
-
-    return (
-        entries.withColumn("tile", F.pmod(F.xxhash64("grp"), tiles))
-        .groupBy("tile")
-        .applyInPandas(centre, "grp string, unit string, distance double")
-    )
-
-
-def centroid_distance(pairs: DataFrame, units: DataFrame, kind: str = "median") -> DataFrame:
+def centroid_distance(pairs: DataFrame, units: DataFrame) -> DataFrame:
     """Distance (grp, unit, distance) of every replicate to the centre of its group.
 
-    ``units`` lists (grp, unit); groups of one are left out. With two replicates both
-    kinds give half of their distance. ``mean`` is all aggregates and takes any size;
-    ``median`` handles a whole group at once and refuses groups above ``MEDIAN_LIMIT``.
+    ``units`` lists (grp, unit); groups of one are left out. The centre is the mean, whose
+    distances are aggregates of the pairs, so that a group may have any size.
     """
-    if kind not in ("mean", "median"):
-        raise ValueError(kind)
     sizes = units.groupBy("grp").agg(F.count(F.lit(1)).alias("n_rows"))
     lone = sizes.filter(F.col("n_rows") < 2).select("grp")
     units = attach(units.select("grp", "unit"), lone, ["grp"], "left_anti", by=["unit"], weights=sizes)
-    return _centre_mean(pairs, units) if kind == "mean" else _centre_median(pairs, units)
+    return _centre_mean(pairs, units)
 
 
 def normal_fit(distances: DataFrame) -> DataFrame:

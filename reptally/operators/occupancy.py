@@ -31,10 +31,6 @@ CUTOFFS = ("som_min_threshold_1", "som_min_threshold_2", "som_min_threshold_3")
 TOSS = "Toss"
 KEEP = "Keep"
 BORDERLINE = "Borderline"
-NOT_SEEN = "NA"
-
-# labels of biological replicates that a pattern spells out
-LABEL_LIMIT = 1000
 
 PARAMETERS = ["a_psi", "b_psi", "a_p11", "b_p11", "a_p10", "b_p10"]
 
@@ -60,30 +56,18 @@ def detection_counts(found: DataFrame, mode: str = "double") -> DataFrame:
 def presence_pattern(found: DataFrame, mode: str = "double") -> DataFrame:
     """One row per feature and site with K and its detections over all biological replicates.
 
-    The pattern lists the replicates in label order, joined by dots, ``NA`` where the
-    feature was not seen. With more than ``LABEL_LIMIT`` labels over all sites it names
-    only the replicates that have detections, which tells the same patterns apart.
+    The pattern names the replicates that have detections and how many, sorted and joined
+    by dots (``A=2.B=1``); a replicate that is not named has none.
     """
     # one shuffle serves both aggregates; a feature at a site has few rows, one per replicate
     near = found.repartition("feature", "site")
     cells = near.groupBy("feature", "taxon", "site", "bio_rep").agg(F.count(F.lit(1)).alias("n_det"))
-    some = found.select("bio_rep").distinct().limit(LABEL_LIMIT + 1)
-    labels = total_of(some, F.array_sort(F.collect_set("bio_rep")))
-    seen = cells.groupBy("feature", "taxon", "site").agg(
-        F.map_from_entries(F.collect_list(F.struct("bio_rep", "n_det"))).alias("_seen"),
+    named = F.concat_ws("=", "bio_rep", F.col("n_det").cast("string"))
+    patterns = cells.groupBy("feature", "taxon", "site").agg(
+        F.array_join(F.array_sort(F.collect_list(named)), ".").alias("pattern"),
         F.sum("n_det").alias("detections"),
         F.max("n_det").alias("max_detections"),
     )
-    text = F.transform(
-        "_labels", lambda b: F.coalesce(F.element_at("_seen", b).cast("string"), F.lit(NOT_SEEN))
-    )
-    named = F.array_sort(
-        F.transform(F.map_entries("_seen"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    )
-    pattern = F.when(F.size("_labels") > LABEL_LIMIT, F.array_join(named, ".")).otherwise(F.array_join(text, "."))
-    patterns = seen.withColumn("_labels", labels).select(
-        "feature", "taxon", "site", pattern.alias("pattern"), "detections", "max_detections"
-    )
     return attach(patterns, replicate_count(found, mode), ["site"], by=["feature"])
 
 

@@ -53,15 +53,15 @@ def sum_runs(long: DataFrame) -> DataFrame:
     return long.groupBy("taxon", "sample").agg(F.sum("reads").alias("reads"))
 
 
-def align_samples(long: DataFrame, sheet: DataFrame, overflow: str = "error") -> DataFrame:
-    """Wide counts with a column for every sample of the sheet that is no control, read or not."""
+def align_samples(long: DataFrame, sheet: DataFrame) -> DataFrame:
+    """Wide counts with a column for every sample that has reads or is in the sheet as no control."""
     names = sheet.filter(F.coalesce(F.col("sample_control"), F.lit("")) != CONTROL_MARK).select("sample")
-    return to_wide(long, ["taxon"], "sample", "reads", names, overflow)
+    return to_wide(long, ["taxon"], "sample", "reads", names)
 
 
-def count_matrix(long: DataFrame, overflow: str = "error") -> DataFrame:
+def count_matrix(long: DataFrame) -> DataFrame:
     """Features by samples with the taxon of each feature."""
-    return to_wide(long, ["feature", "taxon"], "sample", "reads", overflow=overflow)
+    return to_wide(long, ["feature", "taxon"], "sample", "reads")
 
 
 def site_reads(long: DataFrame) -> DataFrame:

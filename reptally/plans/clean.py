@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,6 @@ class Options:
     cutoff: str = oc.CUTOFFS[0]
     grid: int = 32
     dist_prob: float = 0.975
-    centre: str = "median"
     # the index after step 5 is scaled within each run first
     post_double_scale: bool = True
 
@@ -61,12 +61,17 @@ class Options:
 
 @dataclass
 class Cleaned:
-    """Step tables in order, the log, side tables and lazily planned results."""
+    """Step tables in order, the log, side tables, and results on request."""
 
     steps: list[DataFrame]
     log: DataFrame
     side: dict[str, DataFrame] = field(default_factory=dict)
-    results: dict[str, DataFrame] = field(default_factory=dict)
+    plan: Callable[[], dict[str, DataFrame]] = dict
+
+    @cached_property
+    def results(self) -> dict[str, DataFrame]:
+        """Planned, with what that writes, when they are first asked for."""
+        return self.plan()
 
 
 class _Run:
@@ -148,7 +153,7 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
     values = run.keep(ds.location_values(ds.drop_lone(index, level), level), "replicate_values")
     units = run.keep(ds.unit_totals(values), "replicates")
     pairs = run.keep(ds.pair_distances(values, units), "replicate_pairs")
-    centres = run.keep(ds.centroid_distance(pairs, units, options.centre), "centre_distances")
+    centres = run.keep(ds.centroid_distance(pairs, units), "centre_distances")
     out = ds.distance_outliers(centres, options.dist_prob)
     step5 = run.keep(ds.drop_replicates(step4, out, level), "step_5", ["run"])
 
@@ -162,7 +167,7 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
         "contamination_hist": ct.contam_hist(vector),
         "replication_level": ds.replication_level(step5, level),
     }
-    return Cleaned(steps, log, side, {**results("pre", step3, False), **results("post", step5, options.post_double_scale)})
+    return Cleaned(steps, log, side, lambda: results("pre", step3, False) | results("post", step5, options.post_double_scale))
 
 
 def results(phase: str, long: DataFrame, double_scale: bool) -> dict[str, DataFrame]:
@@ -184,13 +189,17 @@ def results(phase: str, long: DataFrame, double_scale: bool) -> dict[str, DataFr
     }
 
 
-def write_results(cleaned: Cleaned, sheet: DataFrame, folder: str) -> list[str]:
-    """Every result as a wide CSV (long above the column limit), side tables and the log as CSV."""
+def write_results(cleaned: Cleaned, sheet: DataFrame, folder: str, form: str = "wide") -> list[str]:
+    """Every result as CSV, in ``form`` wide or long, and the side tables and the log."""
+    if form not in ("wide", "long"):
+        raise ValueError(form)
     names = sheet.filter(F.coalesce("sample_control", F.lit("")) != fl.CONTROL_MARK).select("sample")
     written = []
     for name, long in cleaned.results.items():
         taxon, column, value = long.columns
-        table = output.to_wide(long, [taxon], column, value, names if column == "sample" else None, "long")
+        table = long
+        if form == "wide":
+            table = output.to_wide(long, [taxon], column, value, names if column == "sample" else None)
         written.append(output.write_csv(table, f"{folder}/{name}.csv", [taxon]))
     for name, table in {**cleaned.side, "log": cleaned.log}.items():
         written.append(output.write_csv(table, f"{folder}/{name}.csv"))

@@ -222,11 +222,9 @@ def occupancy_blocks(prefix: str, found: str, mode: str = "double") -> None:
     block(f"{p}cells", f"SELECT feature, taxon, site, bio_rep, count(*) AS n_det FROM {found} GROUP BY ALL")
     block(
         f"{p}patterns",
-        f"""SELECT feature, taxon, site, string_agg(coalesce(CAST(n_det AS VARCHAR), 'NA'), '.' ORDER BY bio_rep) AS pattern,
+        f"""SELECT feature, taxon, site, string_agg(bio_rep || '=' || n_det, '.' ORDER BY bio_rep || '=' || n_det) AS pattern,
             CAST(sum(n_det) AS BIGINT) AS detections, max(n_det) AS max_detections, any_value(k) AS k
-            FROM (SELECT DISTINCT feature, taxon, site FROM {p}cells)
-            CROSS JOIN (SELECT DISTINCT bio_rep FROM {p}cells)
-            LEFT JOIN {p}cells USING (feature, taxon, site, bio_rep) JOIN {p}k USING (site)
+            FROM {p}cells JOIN {p}k USING (site)
             GROUP BY feature, taxon, site""",
     )
     block(
@@ -387,27 +385,35 @@ block(
 )
 
 
-def wide_sql(rows: str, index: str, column: str, value: str, cast: str = "{}") -> str:
-    cell = cast.format(f"coalesce(COLUMNS(* EXCLUDE ({index})), 0)")
-    return f"SELECT {index}, {cell} FROM (PIVOT {rows} ON {column} USING first({value}) GROUP BY {index})"
+def cells_sql(rows: str, index: str, column: str, value: str, cell: str = "coalesce({}, 0)", per: str = "") -> str:
+    """Every index and column of ``rows`` (of each ``per``) as a row, 0 where there is none."""
+    by = f"{per}, " if per else ""
+    names = f"(SELECT DISTINCT {by}{column} FROM {rows})"
+    pairs = f"JOIN {names} USING ({per})" if per else f"CROSS JOIN {names}"
+    return f"""SELECT {by}{index}, {column}, {cell.format("v")} AS {value}
+        FROM (SELECT DISTINCT {by}{index} FROM {rows}) {pairs}
+        LEFT JOIN (SELECT {by}{index}, {column}, first({value}) AS v FROM {rows} GROUP BY ALL) USING ({by}{index}, {column})"""
 
 
 RAW = "'lib.' || substr(sample, 2) || '.S1'"
-block("run_f", f"SELECT feature, taxon, {RAW} AS raw_name, reads FROM merged WHERE run = 'F'")
+block("wide_runs", f"SELECT run, feature, taxon, {RAW} AS sample, reads FROM merged")
+block("bottles", "SELECT run, feature, taxon, run || '_' || coalesce(bio_rep, 'none') AS bottle, reads FROM labelled")
 block("matrix", "SELECT feature, taxon, sample, CAST(sum(reads) AS BIGINT) AS reads FROM merged GROUP BY ALL")
 block("libraries", "SELECT taxon, run || '_' || sample AS library, reads FROM by_sample")
 block(
     "aligned",
     """SELECT taxon, sample, CAST(sum(reads) AS BIGINT) AS reads FROM (
-       SELECT taxon, sample, reads FROM samples WHERE run = 'F' AND bio_rep <> 'B'
-       UNION ALL SELECT taxon, sheet.sample, 0
-       FROM (SELECT DISTINCT taxon FROM samples WHERE run = 'F' AND bio_rep <> 'B') t, sheet
+       SELECT taxon, sample, reads FROM samples
+       UNION ALL SELECT taxon, 'unlisted', reads FROM samples
+       UNION ALL SELECT taxon, 'unread', 0 FROM samples
+       UNION ALL SELECT taxon, sheet.sample, 0 FROM (SELECT DISTINCT taxon FROM samples) t, sheet
        WHERE sample_control = 'Sample') GROUP BY ALL""",
 )
 block(
     "placed",
-    """SELECT c.*, sheet.site, sheet.control_type FROM counts c
-       LEFT JOIN (SELECT * FROM sheet WHERE tech_rep <> '2') sheet USING (sample)""",
+    """SELECT c.*, sheet.site, sheet.control_type
+       FROM (SELECT * FROM counts UNION ALL SELECT * REPLACE ('unlisted.' || sample AS sample) FROM counts) c
+       LEFT JOIN sheet USING (sample)""",
 )
 block(
     "vector_span",
@@ -471,8 +477,8 @@ run_blocks("ws_", "single", 0.9, "som_min_threshold_2")
 KEYS = "run, sample, feature, taxon, reads"
 
 STATEMENTS: dict[str, str] = {
-    "read_wide": wide_sql("run_f", "feature, taxon", "raw_name", "reads", "CAST({} AS VARCHAR)"),
-    "to_long": "SELECT feature, taxon, raw_name AS sample, reads FROM run_f",
+    "read_wide": cells_sql("wide_runs", "feature, taxon", "sample", "reads", per="run"),
+    "to_long": "SELECT * FROM wide_runs",
     "read_sheet": "SELECT * FROM sheet",
     "sheet_dedupe": "SELECT * EXCLUDE (raw_name) FROM sheet",
     "taxon_key": "SELECT DISTINCT feature, taxon FROM counts",
@@ -481,12 +487,10 @@ STATEMENTS: dict[str, str] = {
     "run_label": """SELECT regexp_extract(feature, '^[a-z]+_(.*)_[0-9]+$', 1) AS run, sample, feature, reads
         FROM counts""",
     "rename_samples": f"""SELECT run, coalesce(s.sample, {RAW.replace('sample', 'c.sample')}) AS sample, feature, taxon, reads
-        FROM counts c LEFT JOIN (SELECT sample FROM sheet WHERE tech_rep <> '1') s ON c.sample = s.sample""",
-    "union_runs": """SELECT feature, taxon,
-        CAST(coalesce(sum(reads) FILTER (WHERE run = 'F' AND bio_rep = 'A'), 0) AS BIGINT) AS "A",
-        CAST(coalesce(sum(reads) FILTER (WHERE bio_rep = 'B'), 0) AS BIGINT) AS "B",
-        CAST(coalesce(sum(reads) FILTER (WHERE run = 'O' AND bio_rep = 'C'), 0) AS BIGINT) AS "C"
-        FROM labelled GROUP BY run, feature, taxon""",
+        FROM counts c LEFT JOIN (SELECT sample FROM sheet) s ON c.sample = s.sample
+        UNION ALL SELECT run, 'unlisted.' || {RAW}, feature, taxon, reads FROM counts""",
+    "union_runs": """SELECT feature, taxon, n.bottle, CAST(coalesce((sum(reads) FILTER (WHERE b.bottle = n.bottle)), 0) AS BIGINT) AS reads
+        FROM bottles b CROSS JOIN (SELECT DISTINCT bottle FROM bottles) n GROUP BY run, feature, taxon, n.bottle""",
     "write_csv": "SELECT feature, taxon, CAST(sum(reads) AS BIGINT) AS tot FROM positives GROUP BY ALL",
     "write_table": "SELECT * FROM merged",
     "keep_merged": "SELECT * FROM merged",
@@ -499,7 +503,7 @@ STATEMENTS: dict[str, str] = {
         UNION ALL SELECT sample, 'positives' FROM sheet WHERE control_type = 'Pos'
         UNION ALL SELECT sample, 'blanks' FROM sheet WHERE control_type = 'Blank'""",
     "label_source": f"SELECT {KEYS}, source FROM labelled",
-    "drop_zero": "SELECT * FROM counts WHERE reads > 25",
+    "drop_zero": "SELECT * FROM counts WHERE reads > 0",
     "control_features": "SELECT feature, taxon, CAST(sum(reads) AS BIGINT) AS tot FROM blanks GROUP BY ALL",
     "null_profile": " UNION ALL ".join(
         f'SELECT \'{c}\' AS "column", count(*) - count({c}) AS missing, count({c}) AS present FROM '
@@ -517,7 +521,7 @@ STATEMENTS: dict[str, str] = {
     "drop_samples": "SELECT * FROM samples WHERE sample NOT IN (SELECT sample FROM bad)",
     "blank_rows": "SELECT * FROM labelled WHERE source = 'Blanks'",
     "top_feature": "SELECT * FROM merged QUALIFY row_number() OVER (PARTITION BY run ORDER BY reads DESC, feature, sample) <= 5",
-    "count_matrix": wide_sql("matrix", "feature, taxon", "sample", "reads"),
+    "count_matrix": cells_sql("matrix", "feature, taxon", "sample", "reads"),
     "group_sizes": sizes_sql("labelled"),
     "group_sizes_single": sizes_sql("samples", "site"),
     "mean_blank": "SELECT run, feature, round(b, 6) AS b FROM profile",
@@ -565,8 +569,8 @@ STATEMENTS: dict[str, str] = {
         round(n / (sum(n) OVER (PARTITION BY pair_class) * 0.05::DOUBLE), 6) AS density FROM (
         SELECT pair_class, class_order, {bin_sql('round(coalesce(dist, 1), 9)', '0', '0.05::DOUBLE')} AS bin, count(*) AS n
         FROM classed GROUP BY ALL)""",
-    "lone_replicates": """SELECT run, site, bio_rep FROM labelled
-        WHERE source <> 'Samples' OR tech_rep = '1' OR bio_rep <> 'A'
+    "lone_replicates": """SELECT run, site, bio_rep FROM (SELECT run, site, bio_rep, tech_rep FROM labelled
+        UNION ALL SELECT run, site, 'alone', '1' FROM labelled)
         GROUP BY ALL HAVING count(DISTINCT tech_rep) = 1""",
     "pairs_per_group": "SELECT grp, count(DISTINCT unit) * (count(DISTINCT unit) - 1) // 2 AS n_pairs FROM in_values GROUP BY grp",
     "centroid_distance": f"SELECT grp, unit, {rounded('distance')} FROM centres",
@@ -583,8 +587,8 @@ STATEMENTS: dict[str, str] = {
     "stage_summary": summary_sql("samples", "Step_0"),
     "stage_log": summary_sql("samples", "Step_0") + " UNION ALL " + summary_sql("step1", "Step_1.Jump"),
     "taxon_by_sample": "SELECT * FROM by_sample",
-    "taxon_by_sample_wide": wide_sql("libraries", "taxon", "library", "reads"),
-    "align_samples": wide_sql("aligned", "taxon", "sample", "reads"),
+    "taxon_by_sample_wide": cells_sql("libraries", "taxon", "library", "reads"),
+    "align_samples": cells_sql("aligned", "taxon", "sample", "reads"),
     "to_proportion": f"SELECT * REPLACE ({rounded('share')}) FROM shares",
     "scale_by_max": f"""SELECT taxon, run, sample, reads, {rounded('share')},
         round(share / max(share) OVER (PARTITION BY run, taxon), 6) AS index FROM shares""",
@@ -597,8 +601,8 @@ STATEMENTS: dict[str, str] = {
     "sum_runs_index": f"""SELECT taxon, sample, reads, {rounded('share')},
         round(share / max(share) OVER (PARTITION BY taxon), 6) AS index
         FROM (SELECT *, reads / CAST(sum(reads) OVER (PARTITION BY sample) AS BIGINT) AS share FROM summed)""",
-    "site_reads": wide_sql("by_site", "taxon", "site", "reads"),
-    "site_index": wide_sql("site_shares", "taxon", "site", "index", "round({}, 6)"),
+    "site_reads": cells_sql("by_site", "taxon", "site", "reads"),
+    "site_index": cells_sql("site_shares", "taxon", "site", "index", "round(coalesce({}, 0), 6)"),
     "attach_taxon": "SELECT * FROM summed",
     "cleaned_log": "SELECT * FROM w_log",
     "cleaned_counts": "SELECT * FROM w_step5",

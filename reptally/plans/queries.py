@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reptally.functions.joins import attach
 from reptally.functions.storage import cut, new_path
 from reptally.operators import blanks as bl
 from reptally.operators import crosstalk as ct
@@ -67,10 +68,10 @@ def samples(spark: SparkSession, d: str) -> DataFrame:
 # sources and sinks
 
 
-def _wide_file(spark: SparkSession, d: str) -> str:
+def _wide_file(spark: SparkSession, d: str, run: str) -> str:
     """The merged counts of one run as a tab-separated wide table in the shared folder."""
     raw = F.concat(F.lit("lib."), F.substring("sample", 2, 20), F.lit(".S1"))
-    long = merged(spark, d).filter(F.col("run") == "F").withColumn("raw_name", raw)
+    long = merged(spark, d).filter(F.col("run") == run).withColumn("raw_name", raw)
     table = output.to_wide(cut(long, "run"), ["feature", "taxon"], "raw_name", "reads")
     table = table.withColumnsRenamed({"feature": wide.FEATURE_HEADER, "taxon": wide.TAXON_HEADER})
     path = new_path(spark, "wide")
@@ -78,14 +79,25 @@ def _wide_file(spark: SparkSession, d: str) -> str:
     return path
 
 
+def _read_back(spark: SparkSession, d: str) -> DataFrame:
+    """Both runs, each from its own wide file, with every cell, zero or not."""
+    runs = [wide.to_long(wide.read_wide(spark, _wide_file(spark, d, run))).withColumn("run", F.lit(run)) for run in ("F", "O")]
+    return runs[0].unionByName(runs[1])
+
+
+def cells(table: DataFrame, index: list[str], column: str, value: str) -> DataFrame:
+    """Every cell of a wide table as a row."""
+    return table.unpivot(index, None, column, value)
+
+
 @query("read_wide")
 def _(spark, d):
-    return wide.read_wide(spark, _wide_file(spark, d))
+    return _read_back(spark, d)
 
 
 @query("to_long")
 def _(spark, d):
-    return fl.drop_zero(wide.to_long(wide.read_wide(spark, _wide_file(spark, d))))
+    return fl.drop_zero(_read_back(spark, d))
 
 
 @query("read_sheet")
@@ -125,18 +137,20 @@ def _(spark, d):
 def _(spark, d):
     key = F.substring("sample", 2, 20)
     raw = star.counts(spark, d).withColumn("sample", F.concat(F.lit("lib."), key, F.lit(".S1")))
-    known = sheet(spark, d).filter(F.col("tech_rep") != "1")
-    return wide.rename_samples(raw, known)
+    # some samples that the sheet does not list, beside all that it does
+    unlisted = raw.withColumn("sample", F.concat(F.lit("unlisted."), F.col("sample")))
+    return wide.rename_samples(raw.unionByName(unlisted), sheet(spark, d))
 
 
 @query("union_runs")
 def _(spark, d):
     rows = labelled(spark, d)
 
-    def by_bottle(run: str, bottles: list[str]) -> DataFrame:
-        return rows.filter(F.col("run") == run).groupBy("feature", "taxon").pivot("bio_rep", bottles).sum("reads")
+    def by_bottle(run: str) -> DataFrame:
+        own = rows.filter(F.col("run") == run).withColumn("bottle", F.concat_ws("_", "run", F.coalesce("bio_rep", F.lit("none"))))
+        return output.to_wide(cut(own, "run"), ["feature", "taxon"], "bottle", "reads")
 
-    return wide.union_runs(by_bottle("F", ["A", "B"]), by_bottle("O", ["B", "C"]))
+    return cells(wide.union_runs(by_bottle("F"), by_bottle("O")), ["feature", "taxon"], "bottle", "reads")
 
 
 @query("write_csv")
@@ -189,8 +203,9 @@ def _(spark, d):
 
 @query("drop_zero")
 def _(spark, d):
-    kept = F.when(F.col("reads") > 25, F.col("reads")).otherwise(F.lit(0).cast("bigint"))
-    return fl.drop_zero(star.counts(spark, d).withColumn("reads", kept))
+    rows = star.counts(spark, d)
+    nothing = rows.withColumn("sample", F.lit("unread")).withColumn("reads", F.lit(0).cast("bigint"))
+    return fl.drop_zero(rows.unionByName(nothing))
 
 
 @query("control_features")
@@ -200,9 +215,9 @@ def _(spark, d):
 
 @query("null_profile")
 def _(spark, d):
-    return fl.null_profile(
-        fl.attach_sheet(star.counts(spark, d), sheet(spark, d).filter("tech_rep <> '2'"), ["site", "control_type"])
-    )
+    rows = star.counts(spark, d)
+    unlisted = rows.withColumn("sample", F.concat(F.lit("unlisted."), F.col("sample")))
+    return fl.null_profile(fl.attach_sheet(rows.unionByName(unlisted), sheet(spark, d), ["site", "control_type"]))
 
 
 # step 1
@@ -283,7 +298,7 @@ def _(spark, d):
 
 @query("count_matrix")
 def _(spark, d):
-    return tb.count_matrix(merged(spark, d), overflow="long")
+    return cells(tb.count_matrix(merged(spark, d)), ["feature", "taxon"], "sample", "reads")
 
 
 @query("group_sizes")
@@ -510,7 +525,10 @@ def _(spark, d):
 
 @query("lone_replicates")
 def _(spark, d):
-    return ds.lone_replicates(labelled(spark, d).filter("source <> 'Samples' or tech_rep = '1' or bio_rep <> 'A'"))
+    rows = labelled(spark, d)
+    # a further bottle with one replicate at every site
+    alone = rows.withColumn("bio_rep", F.lit("alone")).withColumn("tech_rep", F.lit("1"))
+    return ds.lone_replicates(rows.unionByName(alone))
 
 
 @query("pairs_per_group")
@@ -518,49 +536,44 @@ def _(spark, d):
     return ds.pairs_per_group(ds.unit_totals(ds.location_values(_indexed(spark, d))))
 
 
-def _centres(spark: SparkSession, d: str, kind: str) -> tuple[DataFrame, DataFrame]:
+def _centres(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = _indexed(spark, d)
     values = cut(ds.location_values(rows), "values")
     totals = cut(ds.unit_totals(values), "units")
     pairs = cut(ds.pair_distances(values, totals), "pairs")
-    return rows, cut(ds.centroid_distance(pairs, totals, kind), "centres")
+    return rows, cut(ds.centroid_distance(pairs, totals), "centres")
 
 
 @query("centroid_distance")
 def _(spark, d):
-    return rounded(_centres(spark, d, "mean")[1])
-
-
-@query("centroid_distance_median")
-def _(spark, d):
-    return rounded(_centres(spark, d, "median")[1])
+    return rounded(_centres(spark, d)[1])
 
 
 @query("normal_fit")
 def _(spark, d):
-    return rounded(ds.normal_fit(_centres(spark, d, "mean")[1]))
+    return rounded(ds.normal_fit(_centres(spark, d)[1]))
 
 
 @query("normal_prob")
 def _(spark, d):
-    centres = _centres(spark, d, "mean")[1]
+    centres = _centres(spark, d)[1]
     return rounded(ds.normal_prob(centres, ds.normal_fit(centres)))
 
 
 @query("distance_outliers")
 def _(spark, d):
-    return rounded(ds.distance_outliers(_centres(spark, d, "mean")[1], 0.9))
+    return rounded(ds.distance_outliers(_centres(spark, d)[1], 0.9))
 
 
 @query("drop_replicates")
 def _(spark, d):
-    rows, centres = _centres(spark, d, "mean")
+    rows, centres = _centres(spark, d)
     return rounded(ds.drop_replicates(rows, ds.distance_outliers(centres, 0.9)))
 
 
 @query("replication_level")
 def _(spark, d):
-    rows, centres = _centres(spark, d, "mean")
+    rows, centres = _centres(spark, d)
     return ds.replication_level(ds.drop_replicates(rows, ds.distance_outliers(centres, 0.9)))
 
 
@@ -592,13 +605,16 @@ def _(spark, d):
 @query("taxon_by_sample_wide")
 def _(spark, d):
     rows = tb.library(tb.taxon_by_sample(samples(spark, d)))
-    return output.to_wide(rows, ["taxon"], "library", "reads", overflow="long")
+    return cells(output.to_wide(rows, ["taxon"], "library", "reads"), ["taxon"], "library", "reads")
 
 
 @query("align_samples")
 def _(spark, d):
-    rows = samples(spark, d).filter("run = 'F' and bio_rep <> 'B'")
-    return tb.align_samples(rows, sheet(spark, d), overflow="long")
+    rows = samples(spark, d).select("taxon", "sample", "reads")
+    unlisted = rows.withColumn("sample", F.lit("unlisted"))
+    known = sheet(spark, d)
+    unread = known.limit(1).withColumn("sample", F.lit("unread")).withColumn("sample_control", F.lit("Sample"))
+    return cells(tb.align_samples(rows.unionByName(unlisted), known.unionByName(unread)), ["taxon"], "sample", "reads")
 
 
 def _shares(spark: SparkSession, d: str) -> DataFrame:
@@ -637,27 +653,25 @@ def _(spark, d):
 
 @query("site_reads")
 def _(spark, d):
-    return output.to_wide(tb.site_reads(samples(spark, d)), ["taxon"], "site", "reads", overflow="long")
+    return cells(output.to_wide(tb.site_reads(samples(spark, d)), ["taxon"], "site", "reads"), ["taxon"], "site", "reads")
 
 
 @query("site_index")
 def _(spark, d):
-    return rounded(
-        output.to_wide(tb.site_index(samples(spark, d)), ["taxon"], "site", "index", overflow="long")
-    )
+    return rounded(cells(output.to_wide(tb.site_index(samples(spark, d)), ["taxon"], "site", "index"), ["taxon"], "site", "index"))
 
 
 @query("attach_taxon")
 def _(spark, d):
     rows = samples(spark, d)
     dim = cut(wide.taxon_dim(wide.taxon_key(rows)), "taxa")
-    numbered = rows.join(dim, "taxon").groupBy("taxon_id", "sample").agg(F.sum("reads").alias("reads"))
+    numbered = attach(rows, dim, ["taxon"], "inner", by=["sample", "feature"]).groupBy("taxon_id", "sample").agg(F.sum("reads").alias("reads"))
     return tb.attach_taxon(numbered, dim)
 
 
 # whole runs
 
-WHOLE = Options(min_reads=2400, centre="mean")
+WHOLE = Options(min_reads=2400)
 
 
 @query("cleaned_log")
@@ -678,5 +692,5 @@ def _(spark, d):
 
 @query("cleaned_single_log")
 def _(spark, d):
-    single = Options(min_reads=2400, centre="mean", mode="single", thresh=0.9, cutoff=oc.CUTOFFS[1])
+    single = Options(min_reads=2400, mode="single", thresh=0.9, cutoff=oc.CUTOFFS[1])
     return clean(star.counts(spark, d), star.sheet(spark, d), single).log

@@ -31,21 +31,14 @@ def to_wide(
     column: str,
     value: str,
     names: DataFrame | None = None,
-    overflow: str = "error",
 ) -> DataFrame:
     """One column per value of ``column``, summed, with 0 where nothing was counted.
 
-    ``names`` lists the columns (the sample sheet, say), so that samples without reads
-    appear too. Above the pivot limit the long form is returned or an error raised.
+    ``names`` adds columns (those of the sample sheet, say) for samples without reads. More
+    columns than a pivot may have are an error; the long table is then the one to write.
     """
-    if overflow not in ("error", "long"):
-        raise ValueError(overflow)
-    try:
-        columns = wide_columns(long.select(column) if names is None else names)
-    except TooWide:
-        if overflow == "error":
-            raise
-        return long.groupBy(*index, column).agg(F.sum(value).alias(value))
+    found = long.select(column)
+    columns = wide_columns(found if names is None else found.union(names.select(names.columns[0])))
     wide = long.groupBy(*index).pivot(column, columns).agg(F.sum(value))
     kind = wide.dtypes[-1][1]
     cells = [f"coalesce({quoted(c)}, cast(0 as {kind})) as {quoted(c)}" for c in columns]

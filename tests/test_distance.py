@@ -121,7 +121,7 @@ def test_centroid_mean_against_coordinates(spark):
     cells = random_values({"p": (7, 6), "q": (3, 3), "two": (2, 4), "one": (1, 3)}, seed=4)
     values = spark.createDataFrame(cells, VALUES)
     units = ds.unit_totals(values)
-    got = {(g, u): d for g, u, d in rows(ds.centroid_distance(ds.pair_distances(values), units, "mean"))}
+    got = {(g, u): d for g, u, d in rows(ds.centroid_distance(ds.pair_distances(values), units))}
     dense = dense_distances(cells)
     assert not any(g == "one" for g, _ in got)
     for g in ("p", "q", "two"):
@@ -134,37 +134,6 @@ def test_centroid_mean_against_coordinates(spark):
         assert np.allclose([got[g, u] for u in names], want, atol=1e-7)
 
 
-def test_centroid_median(spark):
-    cells = random_values({"p": (6, 6), "two": (2, 4), "one": (1, 3)}, seed=8)
-    values = spark.createDataFrame(cells, VALUES)
-    pairs, units = ds.pair_distances(values), ds.unit_totals(values)
-    median, mean = ds.centroid_distance(pairs, units, "median"), ds.centroid_distance(pairs, units, "mean")
-    assert median.count() == 8
-    assert np.allclose(*[[r[2] for r in rows(x.filter("grp = 'two'"))] for x in (median, mean)])
-
-
-def test_median_of_three_at_equal_distance_is_the_centre():
-    dist = 0.6 * (1 - np.eye(3))
-    assert np.allclose(ds.median_distances(dist), 0.6 / np.sqrt(3))
-
-
-def test_spatial_median_minimises_the_sum():
-    points = np.random.default_rng(2).normal(size=(9, 3))
-    centre = ds._spatial_median(points)
-
-    def total(c):
-        return np.linalg.norm(points - c, axis=1).sum()
-
-    assert all(total(centre) <= total(centre + 1e-3 * d) for d in np.vstack([np.eye(3), -np.eye(3)]))
-
-
-def test_median_refuses_large_groups(spark, monkeypatch):
-    monkeypatch.setattr(ds, "MEDIAN_LIMIT", 3)
-    values = spark.createDataFrame([("p", f"u{i}", "x", 1.0) for i in range(4)], VALUES)
-    with pytest.raises(Exception, match="use kind='mean'"):
-        ds.centroid_distance(ds.pair_distances(values), ds.unit_totals(values), "median").collect()
-
-
 def test_pairs_per_group(spark):
     cells = [(g, f"{g}{i}", f"own{i}", 1.0) for g, n in (("p", 5), ("q", 3)) for i in range(n)]
     values = spark.createDataFrame(cells, VALUES)

@@ -105,7 +105,6 @@ def test_too_many_columns(spark, long):
     try:
         with pytest.raises(output.TooWide):
             tb.count_matrix(start)
-        assert rows(tb.count_matrix(start, overflow="long"), "sample", "reads") == [("a", 3), ("b", 1)]
     finally:
         spark.conf.unset("spark.sql.pivotMaxValues")
 
