@@ -90,7 +90,7 @@ class Model:
         return float(np.clip(z + sum(map(self.words.__getitem__, sorted(known))), -_LIMIT, _LIMIT))
 
 
-def train(found: list[list[int]], n_words: int, shapes: np.ndarray, good: np.ndarray, rounds: int = 600, sparse: float = 4e-5) -> tuple:
+def train(found: list[list[int]], n_words: int, shapes: np.ndarray, good: np.ndarray, rounds: int = 600, sparse: float = 1e-4) -> tuple:
     """Logistic regression by full-batch Adam, whose steps are shrunk towards zero so that words
     that tell nothing get no weight: weights of words and shapes, centre, scale, offset."""
     centre, scale = shapes.mean(0), shapes.std(0) + 1e-6
