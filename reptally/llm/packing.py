@@ -12,14 +12,18 @@ id stays null; an empty table gives no piece; extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import sys
 import types
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +36,10 @@ SLACK = 32
 END_ID = 1
 #: Windows of so many partitions are merged in one task.
 MERGED = 64
-_CACHED_WORDS = 300_000
+#: Words that a worker keeps between runs of texts; beyond, it starts anew.
+_CACHED_WORDS = 600_000
+#: Bytes of text that are encoded together.
+_RUN_BYTES = 8 << 20
 _JOINED = 200
 #: Marks that, after a word of letters, are a token run of their own; no apostrophe, no < or |.
 _MARKS = "!#$%&*~^.,;:?"
@@ -44,6 +51,8 @@ def _worker(tokenizer: str) -> tuple:
     worker, which Spark uses for many tasks."""
     held = vars(sys.modules.setdefault("_packing_words", types.ModuleType("_packing_words")))
     if tokenizer not in held:
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(tokenizer)
@@ -74,23 +83,53 @@ def _encode(words: list[str], model, ends: np.ndarray, known: dict[str, bytes])
         known[w] = np.array(e.ids, "<u4").tobytes()
 
 
-def token_bytes(texts: list[str | None], tokenizer: str) -> list[bytes]:
+def token_bytes(texts: pa.Array | list[str | None], tokenizer: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers, without special ids.
 
     The tokenizer drops white space and never joins what it separates, nor letters and marks, so
-    that the ids of a text are those of its words; words that come again are looked up.
+    that the ids of a text are those of its words. Each distinct word is looked up once a call,
+    and the words' ids are put together in arrays.
     """
     model, ends, known = _worker(tokenizer)
-    words = [(t or "").replace("\n", " ").split(" ") for t in texts]
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " "), " ")
+    coded = words.flatten().dictionary_encode()
+    # a distinct word is its letters and the marks that end it, or else one part and no marks
+    whole = coded.dictionary
+    core = pc.utf8_rtrim(whole, _MARKS)
+    plain = pc.utf8_is_alpha(core)
+    marked = pc.and_(plain, pc.less(pc.binary_length(core), pc.binary_length(whole)))
+    tails = np.full(len(whole), "", object)
+    tails[marked.to_numpy(zero_copy_only=False)] = pc.replace_substring_regex(whole.filter(marked), f"^.*[^{re.escape(_MARKS)}]", "").to_numpy(zero_copy_only=False)
+    cores = pc.if_else(plain, pc.ascii_lower(core), whole).dictionary_encode()
+    marks = pa.array(tails, pa.string()).dictionary_encode()
     if len(known) > _CACHED_WORDS:
         known.clear()
-    new = set().union(*words) - known.keys()
-    split = {w: (c.lower() if c.isascii() else c, w[len(c) :]) for w in new if (c := w.rstrip(_MARKS)).isalpha()}
-    parts = {p for pair in split.values() for p in pair} | (new - split.keys())
-    _encode(list(parts - known.keys()), model, ends, known)
-    for w, (core, marks) in split.items():
-        known[w] = known[core] + known[marks]
-    return [b"".join(map(known.__getitem__, ws)) for ws in words]
+    distinct = cores.dictionary.to_pylist() + marks.dictionary.to_pylist()
+    _encode(list({p for p in distinct if p not in known}), model, ends, known)
+    found = [known[p] for p in distinct]
+    ids = np.frombuffer(b"".join(found), "<u4")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    starts = np.cumsum(sizes) - sizes
+    # both parts of each word, one after the other
+    part = np.stack([cores.indices.to_numpy(), marks.indices.to_numpy() + len(cores.dictionary)], axis=1)
+    part = part[coded.indices.to_numpy()].ravel()
+    lengths = sizes[part]
+    ends_at = np.cumsum(lengths)
+    data = ids[np.repeat(starts[part] - (ends_at - lengths), lengths) + np.arange(lengths.sum())].tobytes()
+    bounds = 2 * (words.offsets.to_numpy() - words.offsets[0].as_py())
+    cuts = (4 * np.concatenate([[0], ends_at])[bounds]).tolist()
+    return [data[a:b] for a, b in pairwise(cuts)]
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of about ``_RUN_BYTES``; a longer text is a run of its own."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _RUN_BYTES, "right")))
+        yield at, end - at
+        at = end
 
 
 class Windows:
@@ -182,10 +221,9 @@ def pack(
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for at in range(0, batch.num_rows, 512):
-                part, out = batch.slice(at, 512), []
-                texts = part.column("text").to_pylist()
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), token_bytes(texts, tokenizer), strict=True):
+            for at, n in _slices(batch.column("text")):
+                part, out = batch.slice(at, n), []
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), token_bytes(part.column("text"), tokenizer), strict=True):
                     ids += _END
                     held[count] = [doc_id, ids, len(ids) // 4]
                     out += rows(windows.add(len(ids) // 4, (count, 0)), False)
