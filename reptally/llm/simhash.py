@@ -16,7 +16,7 @@ ids are rows like others, without being a smallest id; extra columns are ignored
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -32,6 +32,8 @@ _CHUNK = 1 << 16
 #: Differing bits of the shingles' fingerprints of texts that may be similar: at a similarity of 0.8
 #: 9.5 are expected, with a standard deviation of 2.8.
 STRICT = 20
+#: 64-bit words of a set's odd sketch.
+SKETCH = 8
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -60,6 +62,13 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def odd_sketch(hashes: np.ndarray) -> list[int]:
+    """Parity of how many of the (distinct) ``hashes`` fall in each of 64 * SKETCH bins. Each hash
+    that only one of two sets has changes one bit, so sketches differ in no more bits than sets in hashes."""
+    odd = np.bincount((hashes % np.uint64(BITS * SKETCH)).astype(np.int64), minlength=BITS * SKETCH) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8").tolist()
+
+
 def fingerprint(text: Column, size: int = 3, once: bool = False) -> Column:
     """SimHash of a text's shingles; with ``once`` each distinct shingle counts once."""
 
@@ -225,18 +234,22 @@ def link(
     verify: Callable[[DataFrame], DataFrame] | None = None,
     pivots: int = 2,
     alike: Callable[[str], Column] | None = None,
+    late: Sequence[str] = (),
+    late_alike: Callable[[str], Column] | None = None,
 ) -> DataFrame:
     """Edges (a, b) that connect whatever is within ``radius`` bits (and passes ``verify``).
 
     ``nodes`` (node, fp, n: rows that the node stands for), nodes unique; further columns (longs)
     are there for ``alike``, which gets a prefix and returns a condition on a column and that of the
-    other node (with the prefix), so that candidates are ruled out before they are listed. Edges between nodes
+    other node (with the prefix), so that candidates are ruled out before they are listed. The columns
+    ``late`` are for ``late_alike`` alone: they are wider, and only probes that meet another component
+    carry them. Edges between nodes
     that are connected otherwise may be left out; components are those of all links.
     """
     keep = verify or (lambda e: e)
     n = nodes.count()
     groups = bit_groups(nodes, parts_for(n))
-    more = [c for c in nodes.columns if c not in ("node", "fp", "n")]
+    more = [c for c in nodes.columns if c not in ("node", "fp", "n", *late)]
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("other_fp"))) <= radius
     if alike:
         apart = apart & alike("other_")
@@ -256,16 +269,20 @@ def link(
     size = groups_so_far.groupBy("root").agg(F.count(F.lit(1)).alias("c_size"))
     ranks = stored(attach(groups_so_far, size, ["root"], "left").select("node", F.col("root").alias("c_root"), "c_size"), "ranks")
     ranked = stored(
-        nodes.drop("n").join(ranks, "node", "left").select("node", "fp", *more, F.coalesce("c_size", F.lit(1).cast("long")).alias("c_size"), F.coalesce("c_root", "node").alias("c_root")),
+        nodes.drop("n").join(ranks, "node", "left").select("node", "fp", *more, F.coalesce("c_size", F.lit(1).cast("long")).alias("c_size"), F.coalesce("c_root", "node").alias("c_root"), *late),
         "ranked",
     )
-    index = stored(ranked.select(F.explode(keys).alias("key"), F.col("node").alias("other"), *others, F.struct("c_size", "c_root").alias("rank")), "index")
+    index = stored(ranked.select(F.explode(keys).alias("key"), F.col("node").alias("other"), *others, F.struct("c_size", "c_root").alias("rank"), *[F.col(c).alias(f"other_{c}") for c in late]), "index")
     top = index.groupBy("key").agg(F.max("rank").alias("top"))
     plan = allocation(nodes, groups, n, radius)
-    probes = ranked.mapInPandas(_probes(plan, more), "key long, node long, fp long, c_size long, c_root long" + "".join(f", {c} long" for c in more))
+    probes = ranked.drop(*late).mapInPandas(_probes(plan, more), "key long, node long, fp long, c_size long, c_root long" + "".join(f", {c} long" for c in more))
     probes = attach(probes, top, ["key"], "inner", by=["node"]).withColumn("own", F.struct("c_size", "c_root"))
     # a pair of two components is found from the smaller one's side; without one in the bucket, no probe
     probes = probes.filter("own < top").select("key", "node", "fp", "own", *more)
+    if late_alike:
+        # a node has few probes, so no key of this join is hot
+        probes = probes.join(nodes.select("node", *late), "node")
+        apart = apart & late_alike("other_")
     across = probes.join(index, "key").filter((F.col("own") < F.col("rank")) & apart)
     across = keep(across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
     return stored(edges.unionByName(across), "links")
@@ -292,7 +309,10 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
     words are one node. Null ids come last.
     """
 
-    @F.pandas_udf("struct<node: long, fp: long, size: long, strict: long>")
+    sketch = [f"odd_{k}" for k in range(SKETCH)]
+    names = ["node", "fp", "size", "strict", *sketch]
+
+    @F.pandas_udf(f"struct<{', '.join(f'{c}: long' for c in names)}>")
     def mark(texts: pd.Series) -> pd.DataFrame:
         from xxhash import xxh64_intdigest
 
@@ -300,14 +320,19 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
         for t in texts:
             own = np.unique(shingle_hashes(t, size))
             node = np.uint64(xxh64_intdigest(b" ".join((t or "").encode().lower().split()), 7)).view(np.int64)
-            out.append((int(node), majority(np.unique(shingle_hashes(t, 1))), len(own), majority(own)))
-        return pd.DataFrame(out, columns=["node", "fp", "size", "strict"])
+            out.append((int(node), majority(np.unique(shingle_hashes(t, 1))), len(own), majority(own), *odd_sketch(own)))
+        return pd.DataFrame(out, columns=names).astype("int64")
 
     def may_be(other: str) -> Column:
         """Sets that similar have sizes as similar; and their own fingerprints are near too."""
         small, large = F.least("size", f"{other}size"), F.greatest("size", f"{other}size")
         return (small >= least * large - 1e-9) & (F.bit_count(F.col("strict").bitwiseXOR(F.col(f"{other}strict"))) <= STRICT)
 
+    def may_differ(other: str) -> Column:
+        """Sets that similar differ in few enough hashes, and their sketches in no more bits."""
+        bits = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(other + c))) for c in sketch])
+        return bits <= (1 - least) / (1 + least) * (F.col("size") + F.col(f"{other}size")) + 1e-9
+
     @F.pandas_udf("array<long>")
     def sets(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(shingle_hashes(t, size)).view(np.int64).tolist() for t in texts])
@@ -318,7 +343,7 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
     rows = row_key(docs.select(F.struct("*").alias("row")))
     marked = stored(rows.select("rk", "id", mark(F.col("row")["text"]).alias("m")).select("rk", "id", "m.*"), "marks")
     order = F.struct(F.col("id").isNull().alias("nil"), F.col("id").alias("id"), F.col("rk").alias("rk"))
-    classes = stored(marked.groupBy("node", "fp", "size", "strict").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")), "classes")
+    classes = stored(marked.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")), "classes")
 
     def alike(edges: DataFrame) -> DataFrame:
         """Edges whose two texts are similar enough; only their texts are read again."""
@@ -332,7 +357,8 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
         both = F.size(F.array_intersect("a_set", "b_set"))
         return stored(edges.filter(both >= least * (F.size("a_set") + F.size("b_set") - both) - 1e-9).select("a", "b"), "alike")
 
-    roots = components(link(classes.select("node", "fp", "n", "size", "strict"), radius, alike, pivots=4, alike=may_be))
+    nodes = classes.select("n", *names)
+    roots = components(link(nodes, radius, alike, pivots=4, alike=may_be, late=sketch, late_alike=may_differ))
     groups = stored(classes.join(roots, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "groups")
     firsts = groups.groupBy("root").agg(F.sum("n").alias("rows"), F.min("first").alias("kept")).filter("rows > 1")
     chosen = stored(attach(groups.select("node", "root"), firsts, ["root"], "inner").select("node", "kept"), "chosen")

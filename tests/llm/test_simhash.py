@@ -140,3 +140,14 @@ def test_stage_keeps_one_of_each_group(docs, edge_rows):
     others = sorted(i for i in left if i and i < 100)
     assert others == [1, 4, *range(7, 11), *range(20, 50)]
     assert simhash.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_odd_sketches_differ_in_no_more_bits_than_sets_in_hashes():
+    rng = np.random.default_rng(5)
+    for n, other in [(0, 0), (0, 3), (1, 0), (40, 10), (400, 90), (3000, 700), (3000, 3000)]:
+        both = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        own = np.unique(rng.integers(0, 1 << 63, other, dtype=np.uint64))
+        a, b = simhash.odd_sketch(both), simhash.odd_sketch(np.union1d(both, own))
+        assert len(a) == simhash.SKETCH and all(-(1 << 63) <= x < 1 << 63 for x in a)
+        differ = sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) + (1 << 64)).bit_count() for x, y in zip(a, b, strict=True))
+        assert differ <= len(np.setdiff1d(own, both)) and (differ > 0 or other == 0)
