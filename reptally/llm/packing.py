@@ -37,9 +37,9 @@ END_ID = 1
 #: Windows of so many partitions are merged in one task.
 MERGED = 64
 #: Words that a worker keeps between runs of texts; beyond, it starts anew.
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 300_000
 #: Bytes of text that are encoded together.
-_RUN_BYTES = 8 << 20
+_RUN_BYTES = 2 << 20
 _JOINED = 200
 #: Marks that, after a word of letters, are a token run of their own; no apostrophe, no < or |.
 _MARKS = "!#$%&*~^.,;:?"
