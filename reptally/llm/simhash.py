@@ -29,9 +29,9 @@ from reptally.llm.common import components, same_row, stored
 
 BITS = 64
 _CHUNK = 1 << 16
-#: Differing bits of the shingles' fingerprints of texts that may be similar: at a similarity of 0.8
-#: 9.5 are expected, with a standard deviation of 2.8.
-STRICT = 20
+#: Bins in which shingles are counted, for an order from rare to common ones.
+BINS = 1 << 18
+_BLOCK = 1 << 10
 #: 64-bit words of a set's odd sketch.
 SKETCH = 8
 
@@ -301,18 +301,96 @@ def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3) -> DataFram
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius: int = 7) -> DataFrame:
+# --- sets that share most of their hashes
+
+
+def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
+    """How many shingles of the column ``text`` fall in each of BINS bins."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, held, waiting = np.zeros(BINS, np.int64), [], 0
+        for batch in batches:
+            for t in batch["text"]:
+                held.append(shingle_hashes(t, size))
+                waiting += len(held[-1])
+                if waiting >= BINS:
+                    n += np.bincount((np.concatenate(held) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+                    held, waiting = [], 0
+        if waiting:
+            n += np.bincount((np.concatenate(held) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+        blocks = n.reshape(-1, _BLOCK)
+        some = np.flatnonzero(blocks.any(1))
+        yield pd.DataFrame({"block": some.astype("int32"), "n": [blocks[k].tolist() for k in some]})
+
+    def add(found: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": found["block"].iloc[:1], "n": [np.sum(np.stack(found["n"].to_list()), 0).tolist()]})
+
+    # BINS numbers whatever the input
+    out = np.zeros((BINS // _BLOCK, _BLOCK), np.int64)
+    for block, n in texts.select("text").mapInPandas(count, "block int, n array<long>").groupBy("block").applyInPandas(add, "block int, n array<long>").toLocalIterator():
+        out[block] = n
+    return out.ravel()
+
+
+def rarest(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """Those of a set's (sorted, distinct) ``hashes`` that come first in one order of all hashes, from
+    rare to common bins: so many that two sets of a Jaccard similarity of ``least`` have one in common.
+    They share ``least`` of the larger set, so the first shared hash has at most the others before it."""
+    n = len(hashes)
+    order = np.argsort(counts[(hashes % np.uint64(BINS)).astype(np.int64)], kind="stable")
+    return hashes[order[: n - int(np.ceil(least * n - 1e-9)) + 1]] if n else hashes
+
+
+def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame], pivots: int = 2) -> DataFrame:
+    """Edges (a, b) that connect whatever shares a key and passes ``alike`` and ``verify``.
+
+    ``nodes`` (node, n: rows that the node stands for), nodes unique; further columns (longs) are there
+    for ``alike``, which gets a prefix and returns a condition on a column and that of the other node
+    (with the prefix), so that candidates are ruled out before they are listed. ``keys`` (key, node),
+    rows unique. As in ``link``, each key is linked to a few pivots first, then only nodes of different
+    components are compared, from the smaller component's side.
+    """
+    more = [c for c in nodes.columns if c not in ("node", "n")]
+    others = [F.col(c).alias(f"other_{c}") for c in more]
+    keys = stored(keys, "keys")
+    several = stored(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key"), "several")
+    keys = stored(attach(keys, several, ["key"], "inner", by=["node"]).select("key", "node"), "shared-keys")
+    index = stored(keys.join(nodes, "node").select("key", "node", "n", *more), "index")
+    near = []
+    for k in range(pivots):
+        # the node with most rows, then any; whatever is near it needs no other link
+        weight = F.struct(*([F.col("n")] if k == 0 else []), F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("other"), *others)
+        pivot = index.groupBy("key").agg(F.max(weight).alias("m")).select("key", "m.other", *[f"m.other_{c}" for c in more])
+        found = attach(index.drop("n"), pivot, ["key"], "inner", by=["node"]).filter(alike("other_") & (F.col("node") != F.col("other")))
+        near.append(found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
+    edges = stored(verify(reduce(DataFrame.union, near).distinct()), "pivot-edges")
+    so_far = stored(components(edges), "pivot-groups")
+    size = so_far.groupBy("root").agg(F.count(F.lit(1)).alias("c_size"))
+    ranks = stored(attach(so_far, size, ["root"], "left").select("node", F.struct("c_size", F.col("root").alias("c_root")).alias("own")), "ranks")
+    index = index.drop("n").join(ranks, "node", "left")
+    index = stored(index.withColumn("own", F.coalesce("own", F.struct(F.lit(1).cast("long").alias("c_size"), F.col("node").alias("c_root")))), "index")
+    top = index.groupBy("key").agg(F.max("own").alias("top"))
+    # a pair of two components is found from the smaller one's side; without another in the bucket, no probe
+    probes = attach(index, top, ["key"], "inner", by=["node"]).filter("own < top").drop("top")
+    index = index.select("key", F.col("node").alias("other"), *others, F.col("own").alias("rank"))
+    across = probes.join(index, "key").filter((F.col("own") < F.col("rank")) & alike("other_"))
+    across = verify(across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    return stored(edges.unionByName(across), "links")
+
+
+def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """``docs`` with one row, that of the smallest id, for each group of near copies.
 
-    Fingerprints are made of distinct words, of which an edit changes fewer than of shingles;
-    a link needs a Jaccard similarity of ``least`` on shingles of ``size`` words. Rows of equal
-    words are one node. Null ids come last.
+    A link is a Jaccard similarity of at least ``least`` on shingles of ``size`` words, and all such
+    pairs are candidates: they share one of their rarest shingles. Rows of equal words are one
+    node. Null ids come last.
     """
 
     sketch = [f"odd_{k}" for k in range(SKETCH)]
-    names = ["node", "fp", "size", "strict", *sketch]
+    names = ["node", "size", *sketch]
+    counts = shingle_counts(docs, size)
 
-    @F.pandas_udf(f"struct<{', '.join(f'{c}: long' for c in names)}>")
+    @F.pandas_udf(f"struct<{', '.join(f'{c}: long' for c in names)}, keys: array<long>>")
     def mark(texts: pd.Series) -> pd.DataFrame:
         from xxhash import xxh64_intdigest
 
@@ -320,18 +398,14 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
         for t in texts:
             own = np.unique(shingle_hashes(t, size))
             node = np.uint64(xxh64_intdigest(b" ".join((t or "").encode().lower().split()), 7)).view(np.int64)
-            out.append((int(node), majority(np.unique(shingle_hashes(t, 1))), len(own), majority(own), *odd_sketch(own)))
-        return pd.DataFrame(out, columns=names).astype("int64")
+            out.append((int(node), len(own), *odd_sketch(own), rarest(own, counts, least).view(np.int64)))
+        return pd.DataFrame(out, columns=[*names, "keys"]).astype(dict.fromkeys(names, "int64"))
 
     def may_be(other: str) -> Column:
-        """Sets that similar have sizes as similar; and their own fingerprints are near too."""
+        """Sets that similar have sizes as similar; they differ in few enough hashes, and their sketches in no more bits."""
         small, large = F.least("size", f"{other}size"), F.greatest("size", f"{other}size")
-        return (small >= least * large - 1e-9) & (F.bit_count(F.col("strict").bitwiseXOR(F.col(f"{other}strict"))) <= STRICT)
-
-    def may_differ(other: str) -> Column:
-        """Sets that similar differ in few enough hashes, and their sketches in no more bits."""
         bits = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(other + c))) for c in sketch])
-        return bits <= (1 - least) / (1 + least) * (F.col("size") + F.col(f"{other}size")) + 1e-9
+        return (small >= least * large - 1e-9) & (bits <= (1 - least) / (1 + least) * (small + large) + 1e-9)
 
     @F.pandas_udf("array<long>")
     def sets(texts: pd.Series) -> pd.Series:
@@ -343,7 +417,7 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
     rows = row_key(docs.select(F.struct("*").alias("row")))
     marked = stored(rows.select("rk", "id", mark(F.col("row")["text"]).alias("m")).select("rk", "id", "m.*"), "marks")
     order = F.struct(F.col("id").isNull().alias("nil"), F.col("id").alias("id"), F.col("rk").alias("rk"))
-    classes = stored(marked.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")), "classes")
+    classes = stored(marked.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.first("keys").alias("keys")), "classes")
 
     def alike(edges: DataFrame) -> DataFrame:
         """Edges whose two texts are similar enough; only their texts are read again."""
@@ -357,8 +431,7 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius:
         both = F.size(F.array_intersect("a_set", "b_set"))
         return stored(edges.filter(both >= least * (F.size("a_set") + F.size("b_set") - both) - 1e-9).select("a", "b"), "alike")
 
-    nodes = classes.select("n", *names)
-    roots = components(link(nodes, radius, alike, pivots=4, alike=may_be, late=sketch, late_alike=may_differ))
+    roots = components(link_shared(classes.select("n", *names), classes.select(F.explode("keys").alias("key"), "node"), may_be, alike))
     groups = stored(classes.join(roots, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "groups")
     firsts = groups.groupBy("root").agg(F.sum("n").alias("rows"), F.min("first").alias("kept")).filter("rows > 1")
     chosen = stored(attach(groups.select("node", "root"), firsts, ["root"], "inner").select("node", "kept"), "chosen")

@@ -151,3 +151,40 @@ def test_odd_sketches_differ_in_no_more_bits_than_sets_in_hashes():
         assert len(a) == simhash.SKETCH and all(-(1 << 63) <= x < 1 << 63 for x in a)
         differ = sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) + (1 << 64)).bit_count() for x, y in zip(a, b, strict=True))
         assert differ <= len(np.setdiff1d(own, both)) and (differ > 0 or other == 0)
+
+
+def test_stage_links_all_that_brute_force_does(docs, no_broadcast):
+    """Truncated, lengthened, framed and short copies, and chains of them."""
+    rnd = random.Random(21)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    text = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    common = text(12)
+    texts = []
+    for k in range(60):
+        words = text(rnd.choice([6, 12, 30, 60, 200, 500])) + common
+        n = len(words)
+        texts += [words, words[: int(n * rnd.uniform(0.8, 0.95))], words + text(int(n * rnd.uniform(0.05, 0.25))), text(n // 10) + words + text(n // 10)]
+        texts.append([w if rnd.random() > 0.02 else rnd.choice(vocabulary) for w in words])
+    rnd.shuffle(texts)
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    left = simhash.drop_near_copies(docs(*[(k, " ".join(t)) for k, t in enumerate(texts)])).collect()
+    assert len(set(root)) < 250
+    assert sorted(r["doc_id"] for r in left) == sorted(set(root))
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8, 0.9])
+def test_similar_sets_share_one_of_their_rarest_hashes(least):
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 5, simhash.BINS)
+    for n in [1, 2, 3, 4, 5, 9, 10, 20, 50, 333]:
+        for _ in range(30):
+            own = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            other = np.union1d(rng.permutation(own)[rng.integers(0, n) :], rng.integers(0, 1 << 63, rng.integers(0, n // 4 + 1), dtype=np.uint64))
+            if len(np.intersect1d(own, other)) >= least * len(np.union1d(own, other)) - 1e-9:
+                assert len(np.intersect1d(simhash.rarest(own, counts, least), simhash.rarest(other, counts, least)))
