@@ -5,7 +5,12 @@ and the first one that has the line. So every shared line, however rare or frequ
 pair, and no line makes more pairs than it has occurrences. A pair is aligned by patience diff:
 lines that are unique in both documents and in the same order are anchors, and equal lines
 around them extend the blocks; what is left, as blocks that changed places, is aligned again. Common blocks of at least ``min_words`` words are deleted from the
-later document. Documents are ordered by id; blank lines are not compared and go with a block
+later document.
+
+The lines of a block may all have come first elsewhere, each in another document. So the shortest
+runs of lines that reach ``min_words`` nominate their first document too, and go from the others. Of a
+block that two documents share, each line lies in such a run within the block, from its own start on or
+up to its end; the first document that has the run is no later than the earlier of the two. Documents are ordered by id; blank lines are not compared and go with a block
 that encloses them.
 
 Defined cases: null and empty texts stay as they are; null ids come last, then by hash of the
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +97,32 @@ def aligned(own: list[int], words: list[int], hits: list, min_words: int) -> set
     return gone
 
 
+def runs_of(hashes: list[int], words: list[int], min_words: int) -> list[tuple[int, int, int]]:
+    """(hash, first line, lines) of the shortest runs of several lines that reach ``min_words``, from
+    each line on and up to each line. Single lines nominate by themselves."""
+    from xxhash import xxh64_intdigest
+
+    found, end, n = set(), 0, 0
+    for start in range(len(words)):
+        while end < len(words) and n < min_words:
+            n += words[end]
+            end += 1
+        if n < min_words:
+            break
+        found.add((start, end))
+        n -= words[start]
+    start, n = 0, 0
+    for end in range(len(words)):
+        n += words[end]
+        while n - words[start] >= min_words and start < end:
+            n -= words[start]
+            start += 1
+        if n >= min_words:
+            found.add((start, end + 1))
+    data = np.asarray(hashes, "<i8").tobytes()
+    return [(int(np.uint64(xxh64_intdigest(data[8 * a : 8 * b], 42)).view(np.int64)), a, b - a) for a, b in sorted(found) if b - a > 1]
+
+
 def cuts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, h, gone): numbers of the lines to delete, for the documents that have any."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("at"), F.trim(x).alias("line"))), lambda x: x["line"] != "")
@@ -115,14 +147,26 @@ def cuts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     firsts = stored(shared.filter("is_first").groupBy("line", "first").agg(F.min(place).alias("place")), "firsts")
     hits = attach(shared.filter("not is_first").select("id", "h", "line", "i"), firsts, ["line"], "inner", by=["id", "h"])
     hit = F.struct(F.xxhash64("first.id", "first.h").alias("doc"), F.col("place.i").alias("there"), F.col("place.once").alias("once"), F.col("place.before").alias("before"), F.col("place.after").alias("after"), F.col("i").alias("here"))
-    per_doc = hits.groupBy("id", "h").agg(F.collect_set(hit).alias("hits"))
+
+    @F.pandas_udf("array<struct<run: long, i: int, n: int>>")
+    def runs(hashes: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series([[{"run": r, "i": i, "n": n} for r, i, n in runs_of(h, w, min_words)] for h, w in zip(hashes, words, strict=True)])
+
+    each_run = stored(docs_lines.select("id", "h", F.explode(runs("hash", "words")).alias("r")).select("id", "h", "r.*"), "runs")
+    repeated = each_run.groupBy("run").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
+    later = attach(each_run, stored(repeated.select("run", "first"), "repeated-runs"), ["run"], "inner", by=["id", "h"]).filter(order != F.col("first"))
+    run = F.struct("i", "n")
+    both = hits.select("id", "h", hit.alias("hit"), F.lit(None).cast("struct<i: int, n: int>").alias("run"))
+    both = both.unionByName(later.select("id", "h", run.alias("run")), allowMissingColumns=True)
+    per_doc = both.groupBy("id", "h").agg(F.collect_set("hit").alias("hits"), F.collect_set("run").alias("runs"))
 
     @F.pandas_udf("array<int>")
-    def align(hashes: pd.Series, words: pd.Series, at: pd.Series, found: pd.Series) -> pd.Series:
+    def align(hashes: pd.Series, words: pd.Series, at: pd.Series, found: pd.Series, known: pd.Series) -> pd.Series:
         out = []
-        for own, w, places, rows in zip(hashes, words, at, found, strict=True):
+        for own, w, places, rows, whole in zip(hashes, words, at, found, known, strict=True):
             pairs = [(r["doc"], r["there"], r["once"], list(r["before"]), list(r["after"]), r["here"]) for r in rows]
-            gone = sorted(aligned(list(own), list(w), pairs, min_words))
+            gone = aligned(list(own), list(w), pairs, min_words)
+            gone = sorted(gone.union(*(range(r["i"], r["i"] + r["n"]) for r in whole)))
             lines = []
             for i, j in zip(gone, [*gone[1:], -1], strict=False):
                 # blank lines between two deleted neighbours go as well
@@ -130,7 +174,7 @@ def cuts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             out.append([int(x) for x in lines])
         return pd.Series(out)
 
-    both = per_doc.join(docs_lines.alias("d"), same_row(per_doc, docs_lines, "id", "h")).select(per_doc["id"], per_doc["h"], align("hash", "words", "at", "hits").alias("gone"))
+    both = per_doc.join(docs_lines.alias("d"), same_row(per_doc, docs_lines, "id", "h")).select(per_doc["id"], per_doc["h"], align("hash", "words", "at", "hits", "runs").alias("gone"))
     return stored(both.filter(F.size("gone") > 0).dropDuplicates(["id", "h"]), "cuts")
 
 

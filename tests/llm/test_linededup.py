@@ -83,3 +83,35 @@ def test_against_brute_force(docs):
         assert all(x in seen for x in gone if x in pool)
         assert not [x for x in set(got[k].split("\n")) if x in pool and x in seen]
         seen |= set(own)
+
+
+def test_passage_whose_lines_all_came_first_elsewhere(docs):
+    own = [line(6) for _ in range(10)]
+    rows = [(1, "\n".join(own[:5])), (2, "\n".join(own[5:]))] + [(k, "\n".join([line(), *own, line()])) for k in (3, 4, 5)]
+    many = [line(7) for _ in range(20)]
+    rows += [(10 + k, f"{line()}\n{x}\n{line()}") for k, x in enumerate(many)]
+    rows += [(40 + k, "\n".join([line(), *many, line()])) for k in range(5)]
+    got, _ = run(docs, rows)
+    for k, t in rows:
+        lines = t.split("\n")
+        assert got[k].split("\n") == ([lines[0], lines[-1]] if k in (4, 5) or k > 40 else lines)
+
+
+def test_all_shared_runs_of_lines_go(docs, no_broadcast):
+    """What goes are the lines of all runs of 50 words that an earlier document has."""
+    pool = [line(RND.randint(3, 30)) for _ in range(60)]
+    rows = []
+    for k in range(80):
+        own = []
+        for _ in range(RND.randint(1, 5)):
+            a = RND.randrange(55)
+            own += pool[a : a + RND.randint(1, 8)] + ([line(9)] if RND.random() < 0.5 else [])
+        rows.append((k, "\n".join(own)))
+    got, _ = run(docs, rows)
+    seen = set()
+    for k, t in rows:
+        own = t.split("\n")
+        spans = [(a, b) for a in range(len(own)) for b in range(a + 1, len(own) + 1) if sum(len(x.split()) for x in own[a:b]) >= 50]
+        gone = {i for a, b in spans if tuple(own[a:b]) in seen for i in range(a, b)}
+        assert got[k].split("\n") == [x for i, x in enumerate(own) if i not in gone] or (len(gone) == len(own) and got[k] == "")
+        seen |= {tuple(own[a:b]) for a, b in spans}
