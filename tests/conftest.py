@@ -46,7 +46,3 @@ def long(spark):
         return spark.createDataFrame(list(rows), names)
 
     return make
-
-
-def rows(df, *columns):
-    return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())

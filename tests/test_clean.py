@@ -9,7 +9,7 @@ from reptally.operators import tables as tb
 from reptally.plans.clean import Options, clean, clean_files
 from reptally.sources import star
 
-from conftest import rows
+from sorted_rows import rows
 
 FOLDER = "/root/testdata/sf0.001"
 SMALL = Options(min_reads=1500, depth_prob=1e-8)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from reptally.operators import distance as ds
 from reptally.operators import tables as tb
 
-from conftest import rows
+from sorted_rows import rows
 
 PLACE = ", site string, bio_rep string, tech_rep string"
 VALUES = "grp string, unit string, item string, value double"

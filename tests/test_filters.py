@@ -3,7 +3,7 @@ import pytest
 from reptally.operators import filters as fl
 from reptally.operators import steplog as sl
 
-from conftest import rows
+from sorted_rows import rows
 
 SHEET = "sample string, site string, bio_rep string, tech_rep string, sample_control string, control_type string"
 

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from reptally.functions.joins import attach, hot_keys, key_weights, spread_join
 
-from conftest import rows
+from sorted_rows import rows
 
 
 def skewed(spark):

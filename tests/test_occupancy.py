@@ -3,7 +3,7 @@ import pytest
 
 from reptally.operators import occupancy as oc
 
-from conftest import rows
+from sorted_rows import rows
 
 PLACE = ", site string, bio_rep string, tech_rep string"
 

@@ -9,7 +9,7 @@ from reptally.operators import blanks as bl
 from reptally.operators import crosstalk as ct
 from reptally.operators import depth as dp
 
-from conftest import rows
+from sorted_rows import rows
 
 PLACE = ", site string, bio_rep string"
 

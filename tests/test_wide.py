@@ -5,7 +5,7 @@ import pytest
 from reptally.operators import tables as tb
 from reptally.sources import output, wide
 
-from conftest import rows
+from sorted_rows import rows
 
 TABLE = "\r\n".join(
     [
