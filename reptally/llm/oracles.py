@@ -38,5 +38,46 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
 FROM m
+""",
+    "op12_filter_interaction_audit": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), firsts AS (
+  SELECT t, min(doc_id) AS least FROM d GROUP BY t
+), w AS (
+  SELECT d.doc_id, d.part, d.t, coalesce(d.doc_id > firsts.least, false) AS copy, regexp_extract_all(d.t, '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM d JOIN firsts ON d.t = firsts.t
+), masks AS (
+  SELECT doc_id, part, CAST(len(ws) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(copy AS INT) AS mask
+  FROM w
+), ruled AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masks LEFT JOIN ruled ON masks.doc_id = ruled.doc_id GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)
+), walk AS (
+  SELECT '' AS prefix, 0 AS applied, '' AS letter, 0 AS bit, 0 AS before, 0 AS step
+  UNION ALL
+  SELECT prefix || l.letter, applied | l.bit, l.letter, l.bit, applied, step + 1 FROM walk, letters l WHERE applied & l.bit = 0
+), steps AS (
+  SELECT part, prefix, letter, step,
+    sum(CASE WHEN mask & applied = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, walk WHERE step > 0 GROUP BY part, prefix, letter, step
+), every AS (
+  SELECT steps.*, o.prefix AS filter_order FROM steps JOIN walk o ON o.step = 5 AND o.prefix[1:steps.step] = steps.prefix
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM every
 """,
 }
