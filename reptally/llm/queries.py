@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reptally.llm import audit, ctw, decontamination, linededup, packing, pii, quality, sharding, simhash, vectors, warc
+from reptally.llm import audit, ctw, decontamination, linededup, packing, pii, ppm, quality, sharding, simhash, vectors, warc
 from reptally.llm.common import table
 
 #: In production the key comes from a secret store; it is a parameter of the operator.
@@ -57,6 +57,10 @@ def op10_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
 
+def op11_partial_matching_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.predict(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bounded_space_packing,
         op9_ngram_decontamination,
         op10_warc_capture_index,
+        op11_partial_matching_language,
         op12_filter_interaction_audit,
     )
 }
