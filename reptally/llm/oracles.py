@@ -79,5 +79,41 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS ke
   CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
   CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM every
+""",
+    # bit by bit, as DuckDB has no CRC-32
+    "op13_conversation_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(h ORDER BY turn NULLS FIRST, h) AS hs, list(w ORDER BY turn NULLS FIRST, h) AS ws, CAST(conv_id AS VARCHAR) AS s FROM t GROUP BY conv_id
+), crc AS (
+  SELECT conv_id, hs, ws, xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(range(1, length(s) + 1), lambda i: list_transform(range(8), lambda k: CAST((ascii(s[i]) >> k) & 1 AS BIGINT))))),
+    lambda crc, b: xor(crc >> 1, CASE WHEN xor(crc, b) & 1 = 1 THEN 3988292384 ELSE 0 END))) % 4 AS n
+  FROM own
+), whole AS (
+  SELECT crc.conv_id, list_concat(coalesce(head.hs[1:crc.n], []), crc.hs[crc.n + 1:]) AS hs, list_concat(coalesce(head.ws[1:crc.n], []), crc.ws[crc.n + 1:]) AS ws
+  FROM crc LEFT JOIN own head ON head.conv_id = crc.conv_id - crc.conv_id % 20
+), each AS (
+  SELECT conv_id, d, hs[1:d] AS prefix, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w, len(hs) = d AS ends
+  FROM (SELECT conv_id, hs, ws, unnest(range(0, len(hs) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM each GROUP BY prefix, d
+), kids AS (
+  SELECT prefix[1:d - 1] AS prefix, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), paths AS (
+  SELECT n.prefix[1:k] AS prefix, n.n_convs, n.w, kids.n IS NULL AS leaf
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM nodes) n LEFT JOIN kids ON kids.prefix = n.prefix
+), under AS (
+  SELECT prefix, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * w) AS saved FROM paths GROUP BY prefix
+)
+SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(kids.n, 0) AS n_children, under.n_leaves,
+       CAST(under.saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN under ON under.prefix = nodes.prefix LEFT JOIN kids ON kids.prefix = nodes.prefix
+LEFT JOIN nodes above ON nodes.d > 0 AND above.d = nodes.d - 1 AND above.prefix = nodes.prefix[1:nodes.d - 1]
 """,
 }

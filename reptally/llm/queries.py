@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reptally.llm import audit, ctw, decontamination, linededup, packing, pii, ppm, quality, sharding, simhash, vectors, warc
+from reptally.llm import audit, ctw, decontamination, linededup, packing, pii, ppm, quality, sharding, simhash, trie, vectors, warc
 from reptally.llm.common import table
 
 #: In production the key comes from a secret store; it is a parameter of the operator.
@@ -65,6 +65,10 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_warc_capture_index,
         op11_partial_matching_language,
         op12_filter_interaction_audit,
+        op13_conversation_prefix_trie,
     )
 }

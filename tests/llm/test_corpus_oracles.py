@@ -36,5 +36,5 @@ def test_same_as_sql(spark, con, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
