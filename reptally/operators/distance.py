@@ -1,16 +1,18 @@
 """Step 5: replicates that disagree with their group.
 
-Pair tables are sparse: a pair of units that share no item is at distance exactly 1 and
-is not listed. Everything that needs such pairs counts them from group sizes.
+Pair tables are sparse where not said otherwise: a pair of units that share no item is at
+distance exactly 1 and is not listed. Centre distances count such pairs from group sizes;
+histograms are made without any table of pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reptally.functions.bins import centred_bin
@@ -22,6 +24,11 @@ from reptally.operators.blanks import group_columns
 # sizes of the pieces that the distance step is cut into
 UNITS_PER_BLOCK = 1024
 ROWS_PER_TASK = 100_000
+# rows from which on an item of a tile is summed as a matrix of its own
+DENSE_ITEM = 48
+# a spatial median is settled when no distance to it changes by more, or after so many rounds
+MEDIAN_CHANGE = 1e-5
+MEDIAN_ROUNDS = 100
 
 
 # fixed values: classes of pairs, in their order
@@ -51,14 +58,22 @@ def edna_index(
     return scaled.withColumn("index", F.col("share") / F.col("_top")).select(*long.columns, "share", "index")
 
 
-def _label(columns: Sequence[str]):
-    return F.concat_ws(":", *columns) if columns else F.lit("")
+def _label(columns: Sequence[str]) -> Column:
+    """One text per combination of values: parts joined by colons, with colons and backslashes
+    in a part escaped and a missing part told from every text."""
+
+    def part(name: str) -> Column:
+        text = F.col(name).cast("string")
+        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+        return F.coalesce(escaped, F.lit("\\N"))
+
+    return F.concat_ws(":", *map(part, columns)) if columns else F.lit("")
 
 
 def unit_values(
     long: DataFrame, unit: Sequence[str], item: str, value: str, group: Sequence[str] = ()
 ) -> DataFrame:
-    """(grp, unit, item, value): positive sums per unit and item, with labels joined by colons."""
+    """(grp, unit, item, value): positive sums per unit and item, with labels as by :func:`_label`."""
     keys = list(dict.fromkeys([*group, *unit, item]))
     return (
         long.groupBy(*keys)
@@ -140,8 +155,34 @@ def _shared(rows: pa.Table) -> pa.Table:
     )
 
 
-def pair_distances(values: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Bray-Curtis distance (grp, a < b, dist) of units of one group that share an item.
+def _blocks_of(totals: DataFrame) -> DataFrame:
+    """(grp, n_units, n_values, largest, blocks) of every group."""
+    sizes = totals.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n_units"),
+        F.sum("n_rows").alias("n_values"),
+        F.max("n_rows").alias("largest"),
+    )
+    return sizes.withColumn("blocks", F.ceil(F.col("n_units") / UNITS_PER_BLOCK))
+
+
+def unit_pairs(totals: DataFrame) -> DataFrame:
+    """(grp, a < b, total_a, total_b) for all pairs of a group, a pair of blocks a task."""
+    sizes = _blocks_of(totals).select("grp", "blocks", "n_units")
+    units = attach(totals, sizes, ["grp"], "inner", by=["unit"], counted="n_units")
+    dealt = (
+        units.withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .select("grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "unit", "total")
+    )
+    one = dealt.withColumnsRenamed({"unit": "a", "total": "total_a", "block": "block_a"})
+    two = dealt.withColumnsRenamed({"unit": "b", "total": "total_b", "block": "block_b"})
+    near = (F.col("a") < F.col("b")) & ((F.col("lo") == F.col("hi")) | (F.col("block_a") != F.col("block_b")))
+    return one.join(two, ["grp", "lo", "hi"]).filter(near).select("grp", "a", "b", "total_a", "total_b")
+
+
+def pair_distances(values: DataFrame, totals: DataFrame | None = None, every: bool = False) -> DataFrame:
+    """Bray-Curtis distance (grp, a < b, dist) of units of one group that share an item, or of
+    all its units with ``every``.
 
     Distances are 1 - 2 * sum(smaller value) / (sum of both). Units are cut into blocks
     of about 1,024 and items into buckets; a task sees one pair of blocks on one bucket,
@@ -149,15 +190,9 @@ def pair_distances(values: DataFrame, totals: DataFrame | None = None) -> DataFr
     what leaves a task are sums per pair of units, not pairs per item.
     """
     totals = unit_totals(values) if totals is None else totals
-    sizes = totals.groupBy("grp").agg(
-        F.count(F.lit(1)).alias("n_units"),
-        F.sum("n_rows").alias("n_values"),
-        F.max("n_rows").alias("largest"),
-    )
-    blocks = F.ceil(F.col("n_units") / UNITS_PER_BLOCK)
     per_piece = (F.col("n_values") / F.col("blocks") + F.col("largest")) * 2 / ROWS_PER_TASK
     sizes = (
-        sizes.withColumn("blocks", blocks)
+        _blocks_of(totals)
         .withColumn("buckets", F.greatest(F.lit(1), F.ceil(per_piece)))
         .select("grp", "blocks", "buckets", "n_units")
     )
@@ -185,6 +220,9 @@ def pair_distances(values: DataFrame, totals: DataFrame | None = None) -> DataFr
     sums = pieces.groupBy("tile", "bucket", "lo", "hi").applyInArrow(
         _shared, "grp string, a string, b string, shared double, total_a double, total_b double"
     )
+    if every:
+        apart = unit_pairs(totals).select("grp", "a", "b", F.lit(0.0).alias("shared"), "total_a", "total_b")
+        sums = sums.unionByName(apart)
     return (
         sums.groupBy("grp", "a", "b")
         .agg(F.sum("shared").alias("shared"), F.max("total_a").alias("ta"), F.max("total_b").alias("tb"))
@@ -217,13 +255,13 @@ def location_values(long: DataFrame, mode: str = "double", value: str = "index")
 
 
 def bray_curtis_within(long: DataFrame, mode: str = "double", value: str = "index") -> DataFrame:
-    """Distances (grp, a, b, dist) between the replicates of each group, over taxa."""
-    return pair_distances(cut(location_values(long, mode, value), "values"))
+    """Distances (grp, a, b, dist) between all replicates of each group, over taxa."""
+    return pair_distances(cut(location_values(long, mode, value), "values"), every=True)
 
 
 def sample_units(long: DataFrame, columns: Sequence[str] = ("site", "bio_rep")) -> DataFrame:
     """Label and place of every (run, sample)."""
-    return long.select(F.concat_ws(":", "run", "sample").alias("unit"), "run", *columns).distinct()
+    return long.select(_label(["run", "sample"]).alias("unit"), "run", *columns).distinct()
 
 
 def pair_class(pairs: DataFrame, units: DataFrame) -> DataFrame:
@@ -288,27 +326,171 @@ def class_totals(units: DataFrame) -> DataFrame:
     return all_of.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def pair_hist(classed: DataFrame, units: DataFrame, width: float = 0.05) -> DataFrame:
-    """Histogram per class, bins of ``width`` centred on its multiples, with densities.
+def _bins(dist: np.ndarray, width: float) -> np.ndarray:
+    """As :func:`centred_bin` from 0 on, of distances at 9 digits."""
+    return np.ceil(np.round(dist, 9) / width - 0.5).astype(np.int64)
+
+
+class _Tile:
+    """Sums of the smaller values for all pairs of two blocks of units (or within one)."""
+
+    def __init__(self, key: tuple[int, int], side: np.ndarray, at: np.ndarray, total: np.ndarray, places: list[np.ndarray]) -> None:
+        self.within = key[0] == key[1]
+        of = [np.flatnonzero(side == k)[np.argsort(at[side == k])] for k in (0, 1)]
+        self.rows, self.columns = of[0], of[0] if self.within else of[1]
+        self.total, self.places = total, places
+        self.shape = len(self.rows), len(self.columns)
+        self.sums = np.zeros(self.shape)
+
+    def add(self, runs: np.ndarray, side: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
+        """Rows of whole items; ``runs`` numbers the items in order."""
+        begins = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
+        sizes = np.diff(np.concatenate([begins, [len(runs)]]))
+        for k in np.flatnonzero(sizes >= DENSE_ITEM):
+            own = slice(begins[k], begins[k] + sizes[k])
+            first, second = (side[own] == 0, side[own] == (0 if self.within else 1))
+            self.sums[np.ix_(at[own][first], at[own][second])] += np.minimum.outer(value[own][first], value[own][second])
+        small = np.repeat(sizes < DENSE_ITEM, sizes)
+        runs, side, at, value = runs[small], side[small], at[small], value[small]
+        order = np.lexsort((at, side, runs))
+        runs, side, at, value = runs[order], side[order], at[order], value[order]
+        left = np.arange(len(runs))
+        flat = self.sums.reshape(-1)
+        for s in range(1, DENSE_ITEM):
+            # rows whose item ends within s rows are done for good
+            left = left[: np.searchsorted(left, len(runs) - s)]
+            left = left[runs[left] == runs[left + s]]
+            if not left.size:
+                break
+            pick = left if self.within else left[side[left] != side[left + s]]
+            np.add.at(flat, at[pick] * self.shape[1] + at[pick + s], np.minimum(value[pick], value[pick + s]))
+
+    def counts(self, width: float) -> dict[tuple[int, int], int]:
+        """Number of pairs per class and bin."""
+        if not self.sums.size:
+            return {}
+        both = self.total[self.rows][:, None] + self.total[self.columns][None, :]
+        shared = np.divide(2 * self.sums, both, out=np.zeros(self.shape), where=both > 0)
+        kind = np.full(self.shape, 3)
+        for order, place in ((2, self.places[0]), (1, self.places[1]), (0, self.places[2])):
+            kind[place[self.rows][:, None] == place[self.columns][None, :]] = order
+        bins = _bins(np.maximum(0.0, 1 - shared), width)
+        keep = np.triu(np.ones(self.shape, bool), 1) if self.within else np.ones(self.shape, bool)
+        base = int(bins.max()) + 1
+        codes, n = np.unique(kind[keep] * base + bins[keep], return_counts=True)
+        return {(int(c // base), int(c % base)): int(k) for c, k in zip(codes, n)}
+
+
+def _tile_counts(width: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Reads tiles one after another, each with its units first and then its values by item, and
+    gives out their counts. One tile's sums and the rows of one batch are held."""
+
+    def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+        rest: pa.Table | None = None
+
+        def runs(table: pa.Table) -> np.ndarray:
+            new = np.zeros(len(table), bool)
+            new[:1] = True
+            for name in ("lo", "hi", "kind"):
+                x = table[name].to_numpy()
+                new[1:] |= x[1:] != x[:-1]
+            item = table["item"].combine_chunks()
+            missing = item.is_null().to_numpy(zero_copy_only=False)
+            apart = pc.fill_null(pc.not_equal(item[1:], item[:-1]), True).to_numpy(zero_copy_only=False)
+            new[1:] |= apart & ~(missing[1:] & missing[:-1])
+            return new
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            if not len(table):
+                continue
+            new = runs(table)
+            last = np.flatnonzero(new)[-1]
+            if last:
+                yield table[:last], np.cumsum(new[:last])
+            rest = table[last:]
+        if rest is not None and len(rest):
+            yield rest, np.ones(len(rest), np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, tile, total = None, None, {}
+
+        def done() -> None:
+            for k, n in tile.counts(width).items() if tile is not None else ():
+                total[k] = total.get(k, 0) + n
+
+        for table, runs in whole_runs(batches):
+            lo, hi, kind, side, at, value = (table[c].to_numpy() for c in ("lo", "hi", "kind", "side", "at", "value"))
+            cuts = np.flatnonzero(np.concatenate([[True], (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (kind[1:] != kind[:-1])]))
+            for a, b in zip(cuts, [*cuts[1:], len(lo)]):
+                if kind[a] == 0:  # the units of a tile are one run, and come before its values
+                    done()
+                    key = (int(lo[a]), int(hi[a]))
+                    places = [table[c][a:b].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in ("in_run", "in_site", "in_bottle")]
+                    tile = _Tile(key, side[a:b], at[a:b], value[a:b], places)
+                else:
+                    tile.add(runs[a:b], side[a:b], at[a:b], value[a:b])
+        done()
+        yield pa.RecordBatch.from_pydict(
+            {
+                "class_order": pa.array([k for k, _ in total], pa.int32()),
+                "bin": pa.array([b for _, b in total], pa.int64()),
+                "n": pa.array(list(total.values()), pa.int64()),
+            }
+        )
 
-    Pairs that share nothing enter the bin of distance 1 by their number.
-    """
+    return count
 
-    def place(x):
-        return centred_bin(F.round(x, 9), F.lit(0.0), F.lit(width))
 
-    listed = classed.groupBy("pair_class", place(F.col("dist")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    totals = class_totals(units)
-    known = listed.groupBy("pair_class").agg(F.sum("n").alias("_known"))
-    rest = (
-        totals.join(known, "pair_class", "left")
-        .withColumn("n", F.col("n_pairs") - F.coalesce("_known", F.lit(0)))
-        .select("pair_class", place(F.lit(1.0)).alias("bin"), "n")
+def pair_hist(values: DataFrame, units: DataFrame, width: float = 0.05) -> DataFrame:
+    """Histogram of all distances between ``units`` (unit, run, site, bio_rep) per class, bins of
+    ``width`` centred on its multiples, with densities.
+
+    No pair is ever a row. Units are dealt to blocks of about 1,024 and every two blocks make a
+    tile, whose values are read item by item in sorted batches into one matrix of sums; what
+    leaves a task are counts per class and bin. A value is sent to as many tiles as there are
+    blocks, as every pair must be looked at somewhere.
+    """
+    totals = unit_totals(values)
+    known = attach(units, totals.select("unit", "total", "n_rows"), ["unit"], by=["run"])
+    n_units, n_rows = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_rows"), F.lit(0))).first()
+    # enough tiles that none has all the work, and no more than one for every 64 units
+    blocks = max(1, -(-n_units // UNITS_PER_BLOCK), min(-(-2 * n_rows // (4 * ROWS_PER_TASK)), -(-n_units // 64)))
+    at = F.row_number().over(Window.partitionBy("block").orderBy("unit")) - 1
+    places = {"in_run": ["run"], "in_site": ["run", "site"], "in_bottle": ["run", "site", "bio_rep"]}
+    placed = cut(
+        known.withColumn("block", F.pmod(F.xxhash64("unit"), F.lit(blocks)).cast("int"))
+        .withColumn("at", at)
+        .select("unit", "block", "at", F.coalesce("total", F.lit(0.0)).alias("total"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), *[_label(c).alias(n) for n, c in places.items()]),
+        "tile-units",
     )
-    counted = listed.unionByName(rest).groupBy("pair_class", "bin").agg(F.sum("n").alias("n")).filter("n > 0")
-    return counted.join(totals, "pair_class").select(
-        "pair_class", "class_order", "bin", "n", (F.col("n") / (F.col("n_pairs") * F.lit(width))).alias("density")
+    nothing = F.lit(None).cast("string")
+    cells = attach(values.select("unit", "item", "value"), placed.select("unit", "block", "at", "n_rows"), ["unit"], "inner", by=["item"], counted="n_rows").select(
+        F.lit(1).alias("kind"), "block", "at", F.col("item").cast("string").alias("item"), "value", *[nothing.alias(n) for n in places]
     )
+    heads = placed.select(F.lit(0).alias("kind"), "block", "at", nothing.alias("item"), F.col("total").alias("value"), *places)
+    dealt = (
+        heads.unionByName(cells)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .withColumn("lo", F.least("block", "other"))
+        .withColumn("hi", F.greatest("block", "other"))
+        .withColumn("side", (F.col("block") != F.col("lo")).cast("int"))
+        .drop("block", "other")
+    )
+    tiles = dealt.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "kind", "item")
+    counted = tiles.mapInArrow(_tile_counts(width), "class_order int, bin bigint, n bigint").groupBy("class_order", "bin").agg(F.sum("n").alias("n"))
+    counted = cut(counted, "tile-counts")
+    names = F.array(*[F.lit(c) for c in CLASSES])
+    whole = counted.groupBy("class_order").agg(F.sum("n").alias("_pairs"))
+    return counted.join(F.broadcast(whole), "class_order").select(
+        F.element_at(names, F.col("class_order") + 1).alias("pair_class"), "class_order", "bin", "n", (F.col("n") / (F.col("_pairs") * F.lit(width))).alias("density")
+    )
+
+
+def sample_hist(long: DataFrame, item: str = "feature", value: str = "index", width: float = 0.05) -> DataFrame:
+    """:func:`pair_hist` of all samples over features."""
+    return pair_hist(cut(unit_values(long, ["run", "sample"], item, value), "values"), cut(sample_units(long), "units"), width)
 
 
 def lone_replicates(long: DataFrame, mode: str = "double") -> DataFrame:
@@ -365,16 +547,57 @@ def _centre_mean(pairs: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
-def centroid_distance(pairs: DataFrame, units: DataFrame) -> DataFrame:
+def _centre_median(pairs: DataFrame, units: DataFrame) -> DataFrame:
+    """Distance to the group's spatial median from the pair distances alone.
+
+    The median is a weighted mean of the units. Weiszfeld's rounds give each unit the inverse of
+    its distance to the last median as its weight; with weights w, the squared distance to their
+    mean is the weighted sum of a unit's squared distances, less half of that of all units. One
+    round is two aggregates for all groups at once.
+    """
+    square = (F.col("dist") * F.col("dist")).alias("sq")
+    both = cut(
+        pairs.select("grp", F.col("a").alias("unit"), F.col("b").alias("other"), square).unionByName(
+            pairs.select("grp", F.col("b").alias("unit"), F.col("a").alias("other"), square)
+        ),
+        "both-ends",
+    )
+    state = cut(units.select("grp", "unit", F.lit(1.0).alias("v"), F.lit(None).cast("double").alias("distance")), "median")
+    for _ in range(MEDIAN_ROUNDS):
+        weights = state.select("grp", F.col("unit").alias("other"), F.col("v").alias("w"))
+        # a unit has as many rows as its group has units; (grp, other) stands out no more
+        near = both.join(weights, ["grp", "other"]).groupBy("grp", "unit").agg(F.sum(F.col("w") * F.col("sq")).alias("p"), F.sum("w").alias("k"))
+        # pairs that share nothing are at distance 1
+        gap = F.coalesce("p", F.lit(0.0)) - F.col("v") - F.coalesce("k", F.lit(0.0))
+        each = cut(state.join(near, ["grp", "unit"], "left").select("grp", "unit", "v", "distance", gap.alias("gap")), "median-sums")
+        whole = each.groupBy("grp").agg(F.sum("v").alias("all_v"), F.sum(F.col("v") * F.col("gap")).alias("all_gap"), F.count(F.lit(1)).alias("n_rows"))
+        squared = (F.col("gap") + F.col("all_v")) / F.col("all_v") - (F.col("all_gap") + F.col("all_v") * F.col("all_v")) / (2 * F.col("all_v") * F.col("all_v"))
+        found = attach(each, whole, ["grp"], "inner", by=["unit"], counted="n_rows").withColumn("_new", F.sqrt(F.abs(squared)))
+        state = cut(
+            found.select("grp", "unit", (1 / F.greatest(F.col("_new"), F.lit(1e-9))).alias("v"), F.col("_new").alias("distance"), F.abs(F.col("_new") - F.col("distance")).alias("change")),
+            "median",
+        )
+        left = state.agg(F.max(F.coalesce("change", F.lit(1.0)))).first()[0]
+        state = state.drop("change")
+        if left is None or left <= MEDIAN_CHANGE:
+            break
+    return state.select("grp", "unit", "distance")
+
+
+def centroid_distance(pairs: DataFrame, units: DataFrame, kind: str = "mean") -> DataFrame:
     """Distance (grp, unit, distance) of every replicate to the centre of its group.
 
     ``units`` lists (grp, unit); groups of one are left out. The centre is the mean, whose
-    distances are aggregates of the pairs, so that a group may have any size.
+    distances are aggregates of the pairs, or the spatial median (``kind="median"``), which is
+    found in rounds; a group may have any size with both. Two replicates are at half their
+    distance with both.
     """
+    if kind not in ("mean", "median"):
+        raise ValueError(kind)
     sizes = units.groupBy("grp").agg(F.count(F.lit(1)).alias("n_rows"))
     lone = sizes.filter(F.col("n_rows") < 2).select("grp")
     units = attach(units.select("grp", "unit"), lone, ["grp"], "left_anti", by=["unit"], weights=sizes)
-    return _centre_mean(pairs, units)
+    return (_centre_mean if kind == "mean" else _centre_median)(pairs, units)
 
 
 def normal_fit(distances: DataFrame) -> DataFrame:

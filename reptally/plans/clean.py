@@ -26,6 +26,7 @@ BLANK_LIST = "blank.contam.species"
 OCCUPANCY_ALL = "Occupancy_all"
 OCCUPANCY_KEPT = "Occupancy_filtered"
 DISCARDED = "step5.discarded_samples"
+HISTS = ("dissimilarity_pre_occupancy", "dissimilarity_post_occupancy")
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,7 @@ class Options:
     cutoff: str = oc.CUTOFFS[0]
     grid: int = 32
     dist_prob: float = 0.975
+    centre: str = "mean"  # or median
     # the index after step 5 is scaled within each run first
     post_double_scale: bool = True
 
@@ -53,6 +55,8 @@ class Options:
             raise ValueError(self.read_type)
         if self.cutoff not in oc.CUTOFFS:
             raise ValueError(self.cutoff)
+        if self.centre not in ("mean", "median"):
+            raise ValueError(self.centre)
 
     @property
     def level(self) -> str:
@@ -67,6 +71,12 @@ class Cleaned:
     log: DataFrame
     side: dict[str, DataFrame] = field(default_factory=dict)
     plan: Callable[[], dict[str, DataFrame]] = dict
+    plan_hists: Callable[[], dict[str, DataFrame]] = dict
+
+    @cached_property
+    def hists(self) -> dict[str, DataFrame]:
+        """Dissimilarities of all samples per class before and after step 4, counted when first read."""
+        return self.plan_hists()
 
     @cached_property
     def results(self) -> dict[str, DataFrame]:
@@ -153,7 +163,7 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
     values = run.keep(ds.location_values(ds.drop_lone(index, level), level), "replicate_values")
     units = run.keep(ds.unit_totals(values), "replicates")
     pairs = run.keep(ds.pair_distances(values, units), "replicate_pairs")
-    centres = run.keep(ds.centroid_distance(pairs, units), "centre_distances")
+    centres = run.keep(ds.centroid_distance(pairs, units, options.centre), "centre_distances")
     out = ds.distance_outliers(centres, options.dist_prob)
     step5 = run.keep(ds.drop_replicates(step4, out, level), "step_5", ["run"])
 
@@ -167,7 +177,13 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
         "contamination_hist": ct.contam_hist(vector),
         "replication_level": ds.replication_level(step5, level),
     }
-    return Cleaned(steps, log, side, lambda: results("pre", step3, False) | results("post", step5, options.post_double_scale))
+    return Cleaned(
+        steps,
+        log,
+        side,
+        lambda: results("pre", step3, False) | results("post", step5, options.post_double_scale),
+        lambda: {name: ds.sample_hist(run.keep(ds.edna_index(step), f"{name}_index")) for name, step in zip(HISTS, (step3, step4))},
+    )
 
 
 def results(phase: str, long: DataFrame, double_scale: bool) -> dict[str, DataFrame]:
@@ -190,7 +206,7 @@ def results(phase: str, long: DataFrame, double_scale: bool) -> dict[str, DataFr
 
 
 def write_results(cleaned: Cleaned, sheet: DataFrame, folder: str, form: str = "wide") -> list[str]:
-    """Every result as CSV, in ``form`` wide or long, and the side tables and the log."""
+    """Every result as CSV, in ``form`` wide or long, and the side tables, histograms and the log."""
     if form not in ("wide", "long"):
         raise ValueError(form)
     names = sheet.filter(F.coalesce("sample_control", F.lit("")) != fl.CONTROL_MARK).select("sample")
@@ -201,7 +217,7 @@ def write_results(cleaned: Cleaned, sheet: DataFrame, folder: str, form: str = "
         if form == "wide":
             table = output.to_wide(long, [taxon], column, value, names if column == "sample" else None)
         written.append(output.write_csv(table, f"{folder}/{name}.csv", [taxon]))
-    for name, table in {**cleaned.side, "log": cleaned.log}.items():
+    for name, table in {**cleaned.side, **cleaned.hists, "log": cleaned.log}.items():
         written.append(output.write_csv(table, f"{folder}/{name}.csv"))
     return written
 

@@ -317,6 +317,13 @@ def pairs_sql(values: str) -> str:
         JOIN (SELECT grp, unit AS b, sum(value) AS total FROM {values} GROUP BY ALL) tb USING (grp, b)"""
 
 
+def all_pairs_sql(values: str, pairs: str) -> str:
+    """Pairs that share nothing too, at distance 1."""
+    return f"""SELECT u.grp, u.unit AS a, w.unit AS b, round(coalesce(dist, 1), 6) AS dist
+        FROM (SELECT DISTINCT grp, unit FROM {values}) u JOIN (SELECT DISTINCT grp, unit FROM {values}) w ON u.grp = w.grp AND u.unit < w.unit
+        LEFT JOIN {pairs} p ON p.grp = u.grp AND p.a = u.unit AND p.b = w.unit"""
+
+
 def centres_sql(values: str, pairs: str) -> str:
     return f"""SELECT grp, unit, sqrt(abs(avg(dd) OVER (PARTITION BY grp, unit)
           - 0.5 * avg(dd) OVER (PARTITION BY grp))) AS distance FROM (
@@ -561,8 +568,8 @@ STATEMENTS: dict[str, str] = {
     "table_size": "SELECT count(DISTINCT sample) AS samples, count(DISTINCT feature) AS features FROM samples",
     "edna_index": f"SELECT * EXCLUDE (share, index), {rounded('share index')} FROM indexed",
     "bray_curtis": f"SELECT a, b, {rounded('dist')} FROM all_pairs",
-    "bray_curtis_within": f"SELECT grp, a, b, {rounded('dist')} FROM in_pairs",
-    "bray_curtis_within_single": f"SELECT grp, a, b, {rounded('dist')} FROM single_pairs",
+    "bray_curtis_within": all_pairs_sql("in_values", "in_pairs"),
+    "bray_curtis_within_single": all_pairs_sql("single_values", "single_pairs"),
     "pair_class": f"""SELECT a, b, {rounded('dist')}, class_order, pair_class FROM classed WHERE dist IS NOT NULL
         UNION ALL SELECT b AS a, a AS b, {rounded('dist')}, class_order, pair_class FROM classed WHERE dist IS NOT NULL""",
     "pair_hist": f"""SELECT pair_class, class_order, bin, n,

@@ -518,9 +518,7 @@ def _(spark, d):
 
 @query("pair_hist")
 def _(spark, d):
-    rows = _indexed(spark, d)
-    units = cut(ds.sample_units(rows), "units")
-    return rounded(ds.pair_hist(ds.pair_class(ds.bray_curtis(rows), units), units))
+    return rounded(ds.sample_hist(_indexed(spark, d)))
 
 
 @query("lone_replicates")
@@ -536,12 +534,12 @@ def _(spark, d):
     return ds.pairs_per_group(ds.unit_totals(ds.location_values(_indexed(spark, d))))
 
 
-def _centres(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _centres(spark: SparkSession, d: str, kind: str = "mean") -> tuple[DataFrame, DataFrame]:
     rows = _indexed(spark, d)
     values = cut(ds.location_values(rows), "values")
     totals = cut(ds.unit_totals(values), "units")
     pairs = cut(ds.pair_distances(values, totals), "pairs")
-    return rows, cut(ds.centroid_distance(pairs, totals), "centres")
+    return rows, cut(ds.centroid_distance(pairs, totals, kind), "centres")
 
 
 @query("centroid_distance")
@@ -549,6 +547,11 @@ def _(spark, d):
     return rounded(_centres(spark, d)[1])
 
 
+@query("centroid_distance_median")
+def _(spark, d):
+    return rounded(_centres(spark, d, "median")[1])
+
+
 @query("normal_fit")
 def _(spark, d):
     return rounded(ds.normal_fit(_centres(spark, d)[1]))

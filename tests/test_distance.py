@@ -49,6 +49,79 @@ def test_distances_equal_the_dense_formula(spark, monkeypatch, block, rows_per_t
     assert set(got) <= set(want) and all(a < b for _, a, b in got)
 
 
+@pytest.mark.parametrize("block,rows_per_task", [(1024, 100_000), (4, 50)])
+def test_all_pairs_of_a_group(spark, monkeypatch, block, rows_per_task):
+    monkeypatch.setattr(ds, "UNITS_PER_BLOCK", block)
+    monkeypatch.setattr(ds, "ROWS_PER_TASK", rows_per_task)
+    cells = random_values({"big": (19, 9), "two": (2, 5), "alone": (1, 6)}, seed=7)
+    values = spark.createDataFrame(cells, VALUES)
+    got = ds.pair_distances(values, every=True)
+    want = dense_distances(cells)
+    assert {(g, a, b): d for g, a, b, d in rows(got)} == pytest.approx(want, abs=1e-12)
+    assert got.groupBy("grp").count().select(F.sum("count")).first()[0] == ds.pairs_per_group(ds.unit_totals(values)).select(F.sum("n_pairs")).first()[0]
+
+
+def hist_by_hand(cells, places, width=0.05):
+    """Counts per class and bin from the dense formula."""
+    dense = dense_distances([("", *c[1:]) for c in cells])
+    out = {}
+    units = sorted(places)
+    for i, a in enumerate(units):
+        for b in units[i + 1 :]:
+            x, y = places[a], places[b]
+            kind = 0 if x == y else 1 if x[:2] == y[:2] else 2 if x[0] == y[0] else 3
+            k = kind, int(np.ceil(np.round(dense.get(("", a, b), 1.0), 9) / width - 0.5))
+            out[k] = out.get(k, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("block,rows_per_task,dense_item", [(1024, 100_000, 48), (4, 50, 3), (7, 20, 48), (1024, 10, 5)])
+def test_histogram_without_pairs_equals_the_dense_formula(spark, monkeypatch, block, rows_per_task, dense_item):
+    monkeypatch.setattr(ds, "UNITS_PER_BLOCK", block)
+    monkeypatch.setattr(ds, "ROWS_PER_TASK", rows_per_task)
+    monkeypatch.setattr(ds, "DENSE_ITEM", dense_item)
+    rng = np.random.default_rng(block)
+    cells = random_values({"": (140, 9)}, seed=block)
+    # one item that all units have, and one without a name
+    cells += [("", f"u{i}", "in all", 0.25) for i in range(140)] + [("", f"u{i}", None, 0.5) for i in range(0, 140, 7)]
+    names = sorted({c[1] for c in cells}) + ["empty"]
+    places = {u: (str(rng.integers(2)), None if rng.random() < 0.2 else str(rng.integers(3)), str(rng.integers(2))) for u in names}
+    units = spark.createDataFrame([(u, *p) for u, p in places.items()], "unit string, run string, site string, bio_rep string")
+    got = ds.pair_hist(spark.createDataFrame(cells, VALUES), units)
+    assert {(r["class_order"], r["bin"]): r["n"] for r in got.collect()} == hist_by_hand(cells, places)
+
+
+def test_histogram_reads_batches_of_any_size(spark, monkeypatch):
+    cells = random_values({"": (30, 40)}, seed=2)
+    units = spark.createDataFrame([(f"u{i}", "r", "s", str(i % 3)) for i in range(30)], "unit string, run string, site string, bio_rep string")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        monkeypatch.setattr(ds, "UNITS_PER_BLOCK", 8)
+        got = ds.pair_hist(spark.createDataFrame(cells, VALUES), units).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {(r["class_order"], r["bin"]): r["n"] for r in got} == hist_by_hand(cells, {f"u{i}": ("r", "s", str(i % 3)) for i in range(30)})
+
+
+def test_no_plan_of_the_histogram_has_pairs(spark):
+    units = spark.createDataFrame([("u0", "r", "s", "a")], "unit string, run string, site string, bio_rep string")
+    assert ds.pair_hist(spark.createDataFrame([], VALUES), units).count() == 0
+    assert ds.pair_hist(spark.createDataFrame([("", "u0", "x", 1.0)], VALUES), units).count() == 0
+
+
+def test_labels_tell_names_apart(long, spark):
+    odd = long(
+        ("r", "s1", "f", "t", 1, "x:y", "z", "1"), ("r", "s2", "f", "t", 2, "x", "y:z", "1"), ("r", "s3", "f", "t", 3, "q", None, "1"),
+        ("r", "s4", "f", "t", 4, None, "q", "1"), ("r", "s5", "f", "t", 5, "x\\", "y", "1"), ("r", "s6", "f", "t", 6, "\\N", "q", "1"), extra=PLACE,
+    )
+    values = ds.location_values(odd.withColumn("index", F.col("reads")))
+    assert values.select("grp").distinct().count() == values.select("unit").distinct().count() == 6
+    bad = values.filter("value = 1").select("unit")
+    assert rows(ds.drop_replicates(odd, bad), "sample") == [("s2",), ("s3",), ("s4",), ("s5",), ("s6",)]
+
+
 def test_identical_and_disjoint_units(spark):
     cells = [("g", "a", "x", 1.0), ("g", "b", "x", 1.0), ("g", "c", "y", 2.0)]
     assert rows(ds.pair_distances(spark.createDataFrame(cells, VALUES))) == [("g", "a", "b", 0.0)]
@@ -92,7 +165,7 @@ def test_classes_and_histogram(placed):
     assert ds.both_orders(classed).count() == 8
     totals = {r["pair_class"]: r["n_pairs"] for r in ds.class_totals(units).collect()}
     assert totals == {"PCR.replicates": 1, "Biol.replicates": 2, "Same Barcode Different Site": 3, "Different Barcode": 4}
-    hist = ds.pair_hist(classed, units)
+    hist = ds.sample_hist(index)
     assert {r["pair_class"]: r["n"] for r in hist.groupBy("pair_class").agg(F.sum("n").alias("n")).collect()} == totals
     density = hist.groupBy("pair_class").agg(F.sum(F.col("density") * 0.05).alias("x"))
     assert all(r["x"] == pytest.approx(1.0) for r in density.collect())
@@ -134,6 +207,49 @@ def test_centroid_mean_against_coordinates(spark):
         assert np.allclose([got[g, u] for u in names], want, atol=1e-7)
 
 
+def median_distances(dist):
+    """Distances to the point that minimises the sum of distances, by many small steps in coordinates."""
+    n = len(dist)
+    j = np.eye(n) - 1 / n
+    values, vectors = np.linalg.eigh(-0.5 * j @ (dist**2) @ j)
+    points = vectors * np.sqrt(np.maximum(values, 0))
+    centre = points.mean(axis=0)
+    for _ in range(20_000):
+        gap = np.maximum(np.sqrt(((points - centre) ** 2).sum(axis=1)), 1e-12)
+        centre = (points / gap[:, None]).sum(axis=0) / (1 / gap).sum()
+    return np.sqrt(((points - centre) ** 2).sum(axis=1))
+
+
+def test_centroid_median_against_coordinates(spark):
+    # distances of points in a plane, so that coordinates exist
+    rng = np.random.default_rng(11)
+    pairs, units, want = [], [], {}
+    for g, n in (("big", 9), ("four", 4), ("three", 3), ("two", 2), ("one", 1), ("same", 3)):
+        points = rng.random((n, 2)) * 0.5 if g != "same" else np.zeros((n, 2))
+        dist = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+        names = [f"{g}{i}" for i in range(n)]
+        units += [(g, u) for u in names]
+        pairs += [(g, names[i], names[k], float(dist[i, k])) for i in range(n) for k in range(i + 1, n)]
+        if n > 1:
+            want |= {(g, u): x for u, x in zip(names, median_distances(dist))}
+    got = ds.centroid_distance(
+        spark.createDataFrame(pairs, "grp string, a string, b string, dist double"), spark.createDataFrame(units, "grp string, unit string"), "median"
+    )
+    got = {(g, u): d for g, u, d in rows(got)}
+    assert got == pytest.approx(want, abs=5e-4)
+    assert got["two", "two0"] == pytest.approx(next(d for g, _, _, d in pairs if g == "two") / 2)
+    # the sum of distances is least at the median
+    assert sum(got["big", f"big{i}"] for i in range(9)) <= sum(want["big", f"big{i}"] for i in range(9)) + 1e-5
+
+
+def test_median_counts_pairs_that_share_nothing(spark):
+    units = spark.createDataFrame([("g", u) for u in "abc"], "grp string, unit string")
+    none = spark.createDataFrame([], "grp string, a string, b string, dist double")
+    assert [d for *_, d in rows(ds.centroid_distance(none, units, "median"))] == pytest.approx([3**-0.5] * 3)
+    with pytest.raises(ValueError):
+        ds.centroid_distance(none, units, "mode")
+
+
 def test_pairs_per_group(spark):
     cells = [(g, f"{g}{i}", f"own{i}", 1.0) for g, n in (("p", 5), ("q", 3)) for i in range(n)]
     values = spark.createDataFrame(cells, VALUES)
