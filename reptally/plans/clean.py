@@ -42,7 +42,7 @@ class Options:
     anchor_rank: int = 1
     mode: str = "double"  # double, single or skip (no step 4)
     cutoff: str = oc.CUTOFFS[0]
-    grid: int = 32
+    points: int = 80
     dist_prob: float = 0.975
     centre: str = "mean"  # or median
     # the index after step 5 is scaled within each run first
@@ -100,7 +100,7 @@ def occupancy(found: DataFrame, options: Options, run: _Run) -> tuple[DataFrame,
     patterns = run.keep(oc.presence_pattern(found, options.level), "patterns")
     unique = run.keep(oc.unique_patterns(patterns), "unique_patterns")
     fit = run.keep(oc.occupancy_fit(oc.model_rows(unique, found, options.level)), "occupancy_fit")
-    probs = oc.occupancy_prob(fit, options.grid)
+    probs = oc.occupancy_prob(fit, options.points)
     scored = run.keep(oc.pattern_occupancy(unique, oc.site_max_occupancy(probs)), "scored_patterns")
     results = run.keep(oc.attach_occupancy(patterns, scored), "occupancy")
     return results, oc.occupancy_cutoffs(scored, options.level)

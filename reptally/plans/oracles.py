@@ -198,7 +198,7 @@ block("sizes", sizes_sql("samples"))
 
 # step 4
 
-GRID = 32
+GRID = 80
 
 
 def found_sql(rows: str, mode: str = "double") -> str:
@@ -206,12 +206,10 @@ def found_sql(rows: str, mode: str = "double") -> str:
     return f"SELECT DISTINCT feature, taxon, site, {level} FROM {rows}"
 
 
-def _nodes_sql(a: str, b: str, power: int) -> str:
-    """Grid for one Beta(a, b): columns ``x`` and the log weight ``lw`` for a point ``t``."""
-    mean = f"({a} / ({a} + {b}))"
-    gap = f"(8 * sqrt({a} * {b} / (({a} + {b}) * ({a} + {b}) * ({a} + {b} + 1))))"
-    low = f"greatest(0.0, {mean} - {gap}) ** (1.0 / {power})"
-    high = f"least(1.0, {mean} + {gap}) ** (1.0 / {power})"
+def _nodes_sql(a: str, b: str) -> str:
+    """Log-odds of a Beta(a, b) rate, evenly spaced; every fall-off is below 1e-8 at the ends."""
+    low = f"(ln({a} / {b}) - 18 / {a} - 5 * sqrt(1 / {a} + 1 / {b}))"
+    high = f"(ln({a} / {b}) + 18 / {b} + 5 * sqrt(1 / {a} + 1 / {b}))"
     return f"({low} + ({high} - {low}) * ((i + 0.5) / {GRID}))"
 
 
@@ -253,17 +251,17 @@ def occupancy_blocks(prefix: str, found: str, mode: str = "double") -> None:
     sets = "k, n, a_psi, b_psi, a_p11, b_p11, a_p10, b_p10"
     block(f"{p}sets", f"SELECT DISTINCT {sets} FROM {p}fit")
 
-    def side(a: str, b: str, power: int, value: str) -> str:
-        t = _nodes_sql(f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)", power)
+    def side(a: str, b: str, value: str) -> str:
+        y = _nodes_sql(f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)")
         return f"""SELECT {sets}, exp(lw - max(lw) OVER (PARTITION BY {sets})) AS w, {value} AS e FROM (
-            SELECT {sets}, x, ({a} - 1) * ln(x) + ({b} - 1) * ln(1 - x) + {power - 1} * ln(t) AS lw FROM (
-              SELECT {sets}, t, t ** {power} AS x FROM (
-                SELECT {sets}, {t} AS t FROM {p}sets, (SELECT unnest(range({GRID})) AS i))))"""
-
-    likelihood = "n * ln(x) + (k - n) * ln(1 - x)"
-    block(f"{p}psi", side("a_psi", "b_psi", 1, "ln(1 - x) - ln(x)"))
-    block(f"{p}p11", side("a_p11", "b_p11", 1, likelihood))
-    block(f"{p}p10", side("a_p10", "b_p10", 3, likelihood))
+            SELECT {sets}, lx, lr, {a} * lx + {b} * lr AS lw FROM (
+              SELECT {sets}, -ln(1 + exp(-y)) AS lx, -ln(1 + exp(y)) AS lr FROM (
+                SELECT {sets}, {y} AS y FROM {p}sets, (SELECT unnest(range({GRID})) AS i))))"""
+
+    likelihood = "n * lx + (k - n) * lr"
+    block(f"{p}psi", side("a_psi", "b_psi", "lr - lx"))
+    block(f"{p}p11", side("a_p11", "b_p11", likelihood))
+    block(f"{p}p10", side("a_p10", "b_p10", likelihood))
     block(
         f"{p}means",
         f"""SELECT {sets}, sum(w * r) / sum(w) AS mean, sum(w * r * r) / sum(w) AS square FROM (

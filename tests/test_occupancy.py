@@ -79,6 +79,65 @@ def test_probability_against_posterior_draws(spark, k, n, pars):
     assert got["sd"] == pytest.approx(draws.std(), abs=2e-3)
 
 
+FIT = "feature string, site string, bio_rep string, k bigint, n bigint, " + ", ".join(f"{p} bigint" for p in oc.PARAMETERS)
+
+
+def fine_grid(k, n, pars, points=220):
+    """Mean and deviation on a fine grid of log-odds."""
+    sides = []
+    for a, b in zip(pars[::2], pars[1::2]):
+        m, s = np.log(a / b), np.sqrt(1 / a + 1 / b)
+        y = np.linspace(m - 20 / a - 6 * s, m + 20 / b + 6 * s, points)
+        x, rest = -np.log1p(np.exp(-y)), -np.log1p(np.exp(y))
+        w = np.exp(a * x + b * rest - (a * x + b * rest).max())
+        sides.append((x, rest, w / w.sum()))
+    (x1, r1, w1), (x2, r2, w2), (x3, r3, w3) = sides
+    e = (r1 - x1)[:, None, None] - (n * x2 + (k - n) * r2)[None, :, None] + (n * x3 + (k - n) * r3)[None, None, :]
+    r = 1 / (1 + np.exp(np.clip(e, -700, 700)))
+    w = w1[:, None, None] * w2[None, :, None] * w3[None, None, :]
+    return (w * r).sum(), np.sqrt((w * r * r).sum() - (w * r).sum() ** 2)
+
+
+def test_probability_equals_a_fine_grid(spark):
+    sets = [
+        (3, 1, (3, 2, 3, 4, 1, 10)), (3, 0, (2, 3, 2, 2, 1, 13)), (1, 1, (3, 2, 3, 2, 1, 10)), (10, 10, (5, 2, 40, 12, 1, 10)),
+        (10, 1, (2, 12, 3, 11, 4, 30)), (30, 2, (3, 2, 4, 30, 2, 39)), (10, 0, (2, 30, 2, 2, 1, 400)),
+    ]
+    fit = spark.createDataFrame([(f"f{i}", "S", "A", k, n, *pars) for i, (k, n, pars) in enumerate(sets)], FIT)
+    got = {r["feature"]: r for r in oc.occupancy_prob(fit).collect()}
+    for i, (k, n, pars) in enumerate(sets):
+        mean, sd = fine_grid(k, n, pars)
+        assert got[f"f{i}"]["mean"] == pytest.approx(mean, abs=5e-7)
+        assert got[f"f{i}"]["sd"] == pytest.approx(sd, abs=5e-7)
+
+
+def test_many_replicates_are_integrated_on_more_points(spark, monkeypatch):
+    monkeypatch.setattr(oc, "MOST_POINTS", 128)
+    rare = (100, 3, (3, 2, 5, 99, 1, 10))
+    fit = spark.createDataFrame([("f", "S", "A", rare[0], rare[1], *rare[2]), ("g", "S", "A", 3, 1, 3, 2, 3, 4, 1, 10)], FIT)
+    got = {r["feature"]: r for r in oc.occupancy_prob(fit, change=True).collect()}
+    assert got["f"]["mean"] == pytest.approx(fine_grid(*rare, points=300)[0], abs=2e-4)
+    assert got["g"]["change"] < oc.SETTLED
+    # without detections among many the feature is as good as absent, with all of them as good as certain
+    sure = spark.createDataFrame([("none", "S", "A", 5000, 0, 2, 3, 500, 500, 1, 5010), ("all", "S", "A", 5000, 5000, 3, 2, 5002, 2, 1, 10)], FIT)
+    got = {r["feature"]: r["mean"] for r in oc.occupancy_prob(sure, points=32).collect()}
+    assert got["none"] == pytest.approx(0, abs=1e-6) and got["all"] == pytest.approx(1, abs=1e-6)
+
+
+def test_the_plan_explodes_nothing_and_has_no_python(spark):
+    fit = spark.createDataFrame([(3, 1, 3, 2, 3, 4, 1, 10)], "k bigint, n bigint, " + ", ".join(f"{p} bigint" for p in oc.PARAMETERS))
+    plan = oc._integrated(fit, 16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def test_a_missing_taxon_is_one_of_its_own(spark, long):
+    start = long(("r", "a", "f", None, 1), ("r", "a", "g", "x", 1), ("r", "a", "h", "", 1))
+    names = lambda *taxa: spark.createDataFrame([(t,) for t in taxa], "taxon string")
+    assert rows(oc.keep_taxa(start, names(None)), "feature") == [("f",)]
+    assert rows(oc.keep_taxa(start, names("x", None)), "feature") == [("f",), ("g",)]
+    assert rows(oc.keep_taxa(start, names("")), "feature") == [("h",)]
+
+
 def test_plugin(spark):
     df = spark.createDataFrame([(3, 1)], "k bigint, n bigint")
     real, false = 0.6 * 0.4 * 0.36, 0.4 * 0.1 * 0.81
