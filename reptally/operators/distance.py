@@ -96,7 +96,7 @@ def unit_totals(values: DataFrame) -> DataFrame:
 
 
 def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
-    coded = column.combine_chunks().dictionary_encode()
+    coded = column.combine_chunks().dictionary_encode(null_encoding="encode")
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 

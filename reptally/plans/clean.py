@@ -107,7 +107,7 @@ def occupancy(found: DataFrame, options: Options, run: _Run) -> tuple[DataFrame,
 
 
 def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, folder: str | None = None) -> Cleaned:
-    """Run steps 0 to 5 on (run, sample, feature, taxon, reads).
+    """Run steps 0 to 5 on (run, sample, feature, taxon, reads); a missing taxon is a label like any.
 
     Every step is written under ``folder`` (by default in the shared folder) and read
     back, since later steps read it several times; results are planned on those tables.
@@ -118,7 +118,7 @@ def clean(counts: DataFrame, sheet: DataFrame, options: Options | None = None, f
     sheet = run.keep(wide.sheet_dedupe(sheet), "sheet")
 
     # step 0: read type, source, places; the sheet is joined once for all steps
-    rows = fl.drop_zero(fl.keep_read_type(counts, options.read_type))
+    rows = wide.name_taxa(fl.drop_zero(fl.keep_read_type(counts, options.read_type)))
     rows = fl.label_source(fl.attach_sheet(rows, sheet, (*fl.HIERARCHY, "control_type"))).drop("control_type")
     rows = run.keep(rows, "step_0", ["run", "source"])
     parts = {s: rows.filter(F.col("source") == s).drop("source") for s in (fl.SAMPLES, fl.POSITIVES, fl.BLANKS)}
@@ -231,8 +231,7 @@ def clean_files(
     """
     folder = folder.rstrip("/")
     known = cut(wide.read_sheet(spark, sheet), path=f"{folder}/tables/sheet_rows")
-    longs = [fl.drop_zero(wide.to_long(wide.read_wide(spark, path))) for path in tables]
-    counts = wide.rename_samples(wide.run_label(wide.union_runs(*longs)), known)
+    counts = wide.rename_samples(wide.run_label(wide.read_long(spark, tables)), known)
     counts = cut(counts, path=f"{folder}/tables/counts")
     cleaned = clean(counts, known, options, f"{folder}/tables")
     write_results(cleaned, known, f"{folder}/csv")

@@ -489,6 +489,12 @@ STATEMENTS: dict[str, str] = {
     "taxon_key": "SELECT DISTINCT feature, taxon FROM counts",
     "taxon_dim": """SELECT taxon, 'taxon_' || row_number() OVER (ORDER BY md5(taxon), taxon) AS taxon_id,
         min(feature) AS first_feature FROM counts GROUP BY taxon""",
+    "taxon_dim_second_load": """SELECT taxon, 'taxon_' || (n + CASE WHEN load = 1 THEN 0 ELSE coalesce(max(n) FILTER (load = 1) OVER (), 0) END) AS taxon_id, first_feature
+        FROM (SELECT taxon, load, CASE WHEN load = 1 THEN early ELSE any_feature END AS first_feature,
+          row_number() OVER (PARTITION BY load ORDER BY md5(taxon) NULLS FIRST, taxon) AS n
+          FROM (SELECT taxon, min(feature) AS any_feature, min(feature) FILTER (first) AS early, CASE WHEN bool_or(first) THEN 1 ELSE 2 END AS load
+            FROM (SELECT CASE WHEN NOT starts_with(taxon, 'Brand#1;') THEN taxon END AS taxon, feature, run = 'F' AND feature LIKE '%7' AS first FROM counts)
+            GROUP BY taxon))""",
     "run_label": """SELECT regexp_extract(feature, '^[a-z]+_(.*)_[0-9]+$', 1) AS run, sample, feature, reads
         FROM counts""",
     "rename_samples": f"""SELECT run, coalesce(s.sample, {RAW.replace('sample', 'c.sample')}) AS sample, feature, taxon, reads

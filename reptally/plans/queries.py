@@ -79,10 +79,9 @@ def _wide_file(spark: SparkSession, d: str, run: str) -> str:
     return path
 
 
-def _read_back(spark: SparkSession, d: str) -> DataFrame:
-    """Both runs, each from its own wide file, with every cell, zero or not."""
-    runs = [wide.to_long(wide.read_wide(spark, _wide_file(spark, d, run))).withColumn("run", F.lit(run)) for run in ("F", "O")]
-    return runs[0].unionByName(runs[1])
+def _read_back(spark: SparkSession, d: str, zeros: bool) -> DataFrame:
+    """Both runs, each from its own wide file, in one scan."""
+    return wide.run_label(wide.read_long(spark, [_wide_file(spark, d, run) for run in ("F", "O")], zeros=zeros))
 
 
 def cells(table: DataFrame, index: list[str], column: str, value: str) -> DataFrame:
@@ -92,12 +91,12 @@ def cells(table: DataFrame, index: list[str], column: str, value: str) -> DataFr
 
 @query("read_wide")
 def _(spark, d):
-    return _read_back(spark, d)
+    return _read_back(spark, d, zeros=True)
 
 
 @query("to_long")
 def _(spark, d):
-    return fl.drop_zero(_read_back(spark, d))
+    return _read_back(spark, d, zeros=False)
 
 
 @query("read_sheet")
@@ -128,6 +127,14 @@ def _(spark, d):
     return wide.taxon_dim(wide.taxon_key(star.counts(spark, d)))
 
 
+@query("taxon_dim_second_load")
+def _(spark, d):
+    """The taxa of one run, then those of both: ids of the first load stay."""
+    counts = star.counts(spark, d).withColumn("taxon", F.when(~F.col("taxon").startswith("Brand#1;"), F.col("taxon")))
+    first = cut(wide.taxon_dim(wide.taxon_key(counts.filter("run = 'F' and feature like '%7'"))), "taxa")
+    return wide.taxon_dim(wide.taxon_key(counts), first)
+
+
 @query("run_label")
 def _(spark, d):
     return wide.run_label(star.counts(spark, d).drop("run")).select("run", "sample", "feature", "reads")

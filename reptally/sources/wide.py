@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reptally.functions.joins import attach
+from reptally.functions.joins import attach, total_of
+from reptally.functions.storage import cut
 
 # fixed values: column names of the input format
 FEATURE_HEADER = "seq_number"
@@ -99,6 +100,55 @@ def to_long(wide: DataFrame, ids: Sequence[str] = ("feature", "taxon")) -> DataF
     )
 
 
+def read_long(spark: SparkSession, paths: Sequence[str], sep: str = "\t", zeros: bool = False) -> DataFrame:
+    """Rows (feature, taxon, sample, reads) of any number of wide text tables, each with columns of
+    its own, in one scan and one plan.
+
+    A path may be a folder of parts that each begin with the header. Headers are found by their
+    two fixed names, whatever the order of lines; a table without one is an error when it is
+    read. A line is split once, and cells without a count go before they become rows, unless
+    ``zeros`` asks for them. Column names reach the rows by file and position, so that no list of
+    columns is on the driver or repeated per line. Repeated names are numbered as in
+    :func:`read_header`.
+    """
+    cells = F.transform(F.split("value", F.lit("[" + ("\\" + sep if sep in "]^-\\" else sep) + "]"), -1), lambda x: F.trim(x))
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file")).filter("trim(value) <> ''")
+    bare = lambda x: F.trim(x, F.lit('"'))
+    is_header = F.col("value").contains(FEATURE_HEADER) & F.col("value").contains(TAXON_HEADER)
+    named = lines.filter(is_header).select("file", F.transform(cells, bare).alias("names"))
+    named = named.filter(F.array_contains("names", FEATURE_HEADER) & F.array_contains("names", TAXON_HEADER)).groupBy("file").agg(F.min("names").alias("names"))
+    files = cut(
+        named.select(
+            "file",
+            F.xxhash64("file").alias("fid"),
+            (F.array_position("names", FEATURE_HEADER) - 1).cast("int").alias("f_at"),
+            (F.array_position("names", TAXON_HEADER) - 1).cast("int").alias("t_at"),
+            "names",
+        ),
+        "headers",
+    )
+    columns = files.select("fid", F.posexplode("names").alias("at", "name"))
+    nth = F.row_number().over(Window.partitionBy("fid", "name").orderBy("at"))
+    columns = columns.withColumn("_nth", nth).select("fid", "at", F.when(F.col("_nth") == 1, F.col("name")).otherwise(F.concat_ws("#", "name", F.col("_nth").cast("string"))).alias("sample"))
+
+    # as many rows as files; the join with every line is by broadcast where that is small
+    known = attach(lines, files.drop("names"), ["file"], by=["value"])
+    lack = F.raise_error(F.concat(F.col("file"), F.lit(f" needs the columns {FEATURE_HEADER} and {TAXON_HEADER}")))
+    # on the key, which the last join needs and so no filter passes by
+    fid = F.when(F.col("fid").isNull(), lack.cast("bigint")).otherwise(F.col("fid"))
+    split = known.select(fid.alias("fid"), "f_at", "t_at", cells.alias("cells"))
+    text = lambda at: F.nullif(bare(F.get("cells", F.col(at))), F.lit(MISSING))
+    place = F.sequence(F.lit(0), F.size("cells") - 1)
+    wanted = F.filter(place, lambda i: (i != F.col("f_at")) & (i != F.col("t_at")) & (F.lit(True) if zeros else ~F.get("cells", i).isin("0", "", MISSING)))
+    found = F.transform(wanted, lambda i: F.struct(i.alias("at"), F.coalesce(bare(F.get("cells", i)).try_cast("bigint"), F.lit(0)).alias("reads")))
+    rows = split.select("fid", text("f_at").alias("feature"), text("t_at").alias("taxon"), F.explode(found).alias("_c"))
+    rows = rows.filter(F.coalesce(F.col("feature") != FEATURE_HEADER, F.lit(True)))
+    rows = rows.select("fid", "feature", "taxon", F.col("_c.at").alias("at"), F.col("_c.reads").alias("reads"))
+    if not zeros:
+        rows = rows.filter("reads <> 0")
+    return attach(rows, columns, ["fid", "at"], "inner", by=["feature"]).select("feature", "taxon", "sample", "reads")
+
+
 def run_label(long: DataFrame, pattern: str = RUN_PATTERN) -> DataFrame:
     """Name of the run, taken from each feature id."""
     return long.withColumn("run", F.regexp_extract("feature", pattern, 1))
@@ -128,29 +178,38 @@ def taxon_key(*tables: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def taxon_dim(key: DataFrame) -> DataFrame:
+def name_taxa(long: DataFrame) -> DataFrame:
+    """A missing taxon becomes the label that stands for it in text tables."""
+    return long.withColumn("taxon", F.coalesce("taxon", F.lit(MISSING)))
+
+
+def taxon_dim(key: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(taxon, taxon_id, first_feature) with ids ``taxon_1`` .. ``taxon_n``.
 
-    Numbers follow the MD5 order of the taxa: hash prefixes cut the taxa into even
-    slices that are numbered side by side, and only the slice sizes (at most 4,096
-    rows) go through one window.
+    Numbers follow the MD5 order of the taxa, a missing taxon first: hash prefixes cut the taxa
+    into even slices that are numbered side by side, and only the slice sizes (at most 4,097
+    rows) go through one window. Taxa of ``known``, the table of an earlier load, keep their ids
+    and first features; new ones are numbered after the largest, in their own MD5 order.
     """
-    taxa = (
-        key.groupBy("taxon")
-        .agg(F.min("feature").alias("first_feature"))
-        .withColumn("_hash", F.md5("taxon"))
-        .withColumn("_slice", F.substring("_hash", 1, 3))
-    )
+    taxa = key.groupBy("taxon").agg(F.min("feature").alias("first_feature"))
+    last = F.lit(0)
+    if known is not None:
+        same = {"_none": F.col("taxon").isNull(), "_name": F.coalesce("taxon", F.lit(""))}
+        old = known.select(*[x.alias(n) for n, x in same.items()])
+        taxa = attach(taxa.withColumns(same), old, list(same), "left_anti", by=["first_feature"]).drop(*same)
+        last = total_of(known, F.coalesce(F.max(F.substring_index("taxon_id", "_", -1).cast("bigint")), F.lit(0)))
+    taxa = taxa.withColumn("_hash", F.coalesce(F.md5("taxon"), F.lit(""))).withColumn("_slice", F.substring("_hash", 1, 3))
     sizes = taxa.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy("_slice").orderBy("_hash", "taxon"))
-    return (
+    new = (
         taxa.withColumn("_at", inside)
         .join(F.broadcast(starts), "_slice")
         .select(
             "taxon",
-            F.concat(F.lit("taxon_"), (F.col("_start") + F.col("_at")).cast("string")).alias("taxon_id"),
+            F.concat(F.lit("taxon_"), (last + F.col("_start") + F.col("_at")).cast("string")).alias("taxon_id"),
             "first_feature",
         )
     )
+    return new if known is None else known.select("taxon", "taxon_id", "first_feature").unionByName(new)

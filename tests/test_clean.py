@@ -121,3 +121,18 @@ def test_step_5_index_is_whole(spark, done):
     tops = index.groupBy("feature").agg(F.max("index").alias("m")).filter("abs(m - 1) > 1e-12")
     assert tops.count() == 0
     assert tb.taxon_by_sample(done.steps[5]).agg(F.sum("reads")).first()[0] == done.steps[5].agg(F.sum("reads")).first()[0]
+
+
+def test_an_unassigned_feature_goes_through_all_steps(spark, long):
+    places = [("S", b, t) for b in "AB" for t in "123"]
+    cells = [("r", f"{s}{b}{t}", f"merged_r_{f}", taxon, 40 + 3 * f + int(t), s, b, t) for s, b, t in places for f, taxon in enumerate([None, "x:y", "x", None])]
+    counts = long(*[c[:5] for c in cells])
+    sheet = spark.createDataFrame(
+        sorted({(c[1], c[1], c[5], c[6], c[7], "Sample", None) for c in cells}),
+        "raw_name string, sample string, site string, bio_rep string, tech_rep string, sample_control string, control_type string",
+    )
+    done = clean(counts, sheet, Options(min_reads=1, depth_prob=0.0, dist_prob=1.0, cutoff="som_min_threshold_3", mode="skip"))
+    assert {r["taxon"] for r in done.steps[-1].select("taxon").distinct().collect()} == {"NA", "x:y", "x"}
+    site = {r["taxon"]: r["index"] for r in done.results["post_occ_site_averaged_sum.taxonomy_e_index"].collect()}
+    assert set(site) == {"NA", "x:y", "x"} and all(v is not None for v in site.values())
+    assert done.hists["dissimilarity_pre_occupancy"].agg({"n": "sum"}).first()[0] == 6 * 5 // 2

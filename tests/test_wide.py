@@ -115,3 +115,59 @@ def test_written_tables_come_back(spark, long, tmp_path):
     assert back.columns == start.columns and rows(back) == rows(start)
     path = output.write_csv(start, str(tmp_path / "c"), ["reads"])
     assert rows(spark.read.csv(path, header=True, schema=start.schema)) == rows(start)
+
+
+def test_many_tables_with_columns_of_their_own_in_one_scan(spark, tmp_path):
+    want, paths = [], []
+    for t in range(100):
+        names = [f"s{t}.{k}" for k in range(t % 4 + 1)] + ["same", "same"]
+        head, at = list(names), t % 3
+        head.insert(at, wide.FEATURE_HEADER)
+        head.append(wide.TAXON_HEADER)
+        lines = ["\t".join(f'"{h}"' if t % 2 else h for h in head)]
+        for r in range(3):
+            counts = [str((t + r * k) % 3) if k else "NA" for k in range(len(names))]
+            taxon = "NA" if r == 2 else f"t{r}; a b"
+            cells = list(counts)
+            cells.insert(at, f"merged_x{t}_{r}")
+            lines.append("\t".join([*cells, taxon]))
+            for k, (name, c) in enumerate(zip(names, counts)):
+                label = f"{name}#2" if name == "same" and k == len(names) - 1 else name
+                want.append((f"merged_x{t}_{r}", None if r == 2 else taxon, label, 0 if c == "NA" else int(c)))
+        path = tmp_path / f"table{t}.txt"
+        path.write_text(("\r\n" if t % 5 else "\n").join(lines))
+        paths.append(str(path))
+    key = lambda r: (r[0], r[2])
+    whole = wide.read_long(spark, paths, zeros=True)
+    assert sorted(map(tuple, whole.collect()), key=key) == sorted(want, key=key)
+    assert sorted(map(tuple, wide.read_long(spark, paths).collect()), key=key) == sorted((w for w in want if w[3]), key=key)
+    # one scan of the text, whatever the number of tables
+    assert whole._jdf.queryExecution().optimizedPlan().toString().count("text") <= 2
+
+
+def test_a_table_without_its_columns_is_an_error(spark, tmp_path):
+    (tmp_path / "good.txt").write_text("seq_number\ta\tsum.taxonomy\nf\t1\tt\n")
+    (tmp_path / "bad.txt").write_text("name\ta\nf\t1\n")
+    with pytest.raises(Exception, match="needs the columns"):
+        wide.read_long(spark, [str(tmp_path / "good.txt"), str(tmp_path / "bad.txt")]).collect()
+
+
+def test_taxon_ids_stay_over_loads(spark):
+    make = lambda *pairs: spark.createDataFrame(list(pairs), "feature string, taxon string")
+    first = wide.taxon_dim(make(("f", "a"), ("g", "b"), ("h", None), ("i", None)))
+    assert sorted(r["taxon_id"] for r in first.collect()) == ["taxon_1", "taxon_2", "taxon_3"]
+    assert rows(first.filter("taxon is null"), "taxon_id", "first_feature") == [("taxon_1", "h")]
+    second = wide.taxon_dim(make(("a0", "a"), ("c0", "c"), ("d0", "d"), ("e0", None)), first)
+    assert set(rows(first.fillna({"taxon": "-"}))) < set(rows(second.fillna({"taxon": "-"})))
+    assert sorted(int(r["taxon_id"][6:]) for r in second.collect()) == [1, 2, 3, 4, 5]
+    # the missing taxon may come later, and an empty first load changes nothing
+    late = wide.taxon_dim(make(("x", None)), wide.taxon_dim(make(("f", "a"))))
+    assert rows(late.filter("taxon is null"), "taxon_id") == [("taxon_2",)]
+    assert rows(wide.taxon_dim(make(("f", "a")), first.limit(0))) == [("a", "taxon_1", "f")]
+
+
+def test_taxon_ids_by_shuffle(spark, no_broadcast):
+    make = lambda n: spark.range(n).select(F.col("id").cast("string").alias("feature"), F.when(F.col("id") > 0, F.concat(F.lit("t"), "id")).alias("taxon"))
+    first = wide.taxon_dim(make(300))
+    second = wide.taxon_dim(make(500), first)
+    assert sorted(int(r["taxon_id"][6:]) for r in second.collect()) == list(range(1, 501))
