@@ -23,6 +23,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`stored` wrote, once all that read them are written themselves.
+
+    Shuffle files of finished jobs go when the driver collects what named them, which is asked
+    for here, since a driver with little to do may not do so for long.
+    """
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+        jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reptally.functions.joins import attach
-from reptally.llm.common import components, same_row, stored
+from reptally.llm.common import components, discard, same_row, stored
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -344,38 +344,47 @@ def rarest(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
 def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame], pivots: int = 2) -> DataFrame:
     """Edges (a, b) that connect whatever shares a key and passes ``alike`` and ``verify``.
 
-    ``nodes`` (node, n: rows that the node stands for), nodes unique; further columns (longs) are there
-    for ``alike``, which gets a prefix and returns a condition on a column and that of the other node
-    (with the prefix), so that candidates are ruled out before they are listed. ``keys`` (key, node),
-    rows unique. As in ``link``, each key is linked to a few pivots first, then only nodes of different
-    components are compared, from the smaller component's side.
+    ``nodes`` (node, and further columns of longs for ``alike``), nodes unique. ``alike`` gets a
+    prefix and returns a condition on a column and that of the other node (with the prefix), by
+    which candidates are ruled out before they are listed. ``keys`` (key, node), rows unique, a
+    written table that is deleted here. As in ``link``, each key is linked to a few pivots first,
+    then only nodes of different components are compared, from the smaller component's side. Key
+    tables hold keys, nodes and components only; what ``alike`` needs is fetched per pair with a
+    pivot, and for the keys that still hold several components.
     """
-    more = [c for c in nodes.columns if c not in ("node", "n")]
-    others = [F.col(c).alias(f"other_{c}") for c in more]
-    keys = stored(keys, "keys")
-    several = stored(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key"), "several")
-    keys = stored(attach(keys, several, ["key"], "inner", by=["node"]).select("key", "node"), "shared-keys")
-    index = stored(keys.join(nodes, "node").select("key", "node", "n", *more), "index")
+    more = [c for c in nodes.columns if c != "node"]
+    several = stored(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n_rows")).filter("lo < hi").select("key", "n_rows"), "several")
+    shared = stored(attach(keys, several, ["key"], "inner", by=["node"], counted="n_rows").select("key", "node"), "shared-keys")
+    discard(keys, several)
     near = []
     for k in range(pivots):
-        # the node with most rows, then any; whatever is near it needs no other link
-        weight = F.struct(*([F.col("n")] if k == 0 else []), F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("other"), *others)
-        pivot = index.groupBy("key").agg(F.max(weight).alias("m")).select("key", "m.other", *[f"m.other_{c}" for c in more])
-        found = attach(index.drop("n"), pivot, ["key"], "inner", by=["node"]).filter(alike("other_") & (F.col("node") != F.col("other")))
+        # whatever is near a pivot needs no other link
+        pivot = shared.groupBy("key").agg(F.max(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("other"))).alias("m")).select("key", "m.other")
+        found = attach(shared, pivot, ["key"], "inner", by=["node"]).filter("node <> other")
         near.append(found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
-    edges = stored(verify(reduce(DataFrame.union, near).distinct()), "pivot-edges")
-    so_far = stored(components(edges), "pivot-groups")
+    pairs = stored(reduce(DataFrame.union, near).distinct(), "pivot-pairs")
+    # a pivot may be in any share of the pairs
+    both = attach(pairs, nodes.withColumnRenamed("node", "a"), ["a"], "inner", by=["b"])
+    both = attach(both, nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in more]), ["b"], "inner", by=["a"])
+    edges = stored(verify(both.filter(alike("other_")).select("a", "b")), "pivot-edges")
+    discard(pairs)
+    so_far = components(edges)
     size = so_far.groupBy("root").agg(F.count(F.lit(1)).alias("c_size"))
     ranks = stored(attach(so_far, size, ["root"], "left").select("node", F.struct("c_size", F.col("root").alias("c_root")).alias("own")), "ranks")
-    index = index.drop("n").join(ranks, "node", "left")
-    index = stored(index.withColumn("own", F.coalesce("own", F.struct(F.lit(1).cast("long").alias("c_size"), F.col("node").alias("c_root")))), "index")
-    top = index.groupBy("key").agg(F.max("own").alias("top"))
+    ranked = shared.join(ranks, "node", "left").withColumn("own", F.coalesce("own", F.struct(F.lit(1).cast("long").alias("c_size"), F.col("node").alias("c_root"))))
+    ranked = stored(ranked, "ranked")
+    mixed = ranked.groupBy("key").agg(F.min("own").alias("least"), F.max("own").alias("top")).filter("least < top").select("key", "top")
+    mixed = stored(attach(ranked, mixed, ["key"], "inner", by=["node"]), "mixed-keys")
+    discard(shared, ranked)
+    full = stored(mixed.join(nodes, "node"), "mixed-keys")
     # a pair of two components is found from the smaller one's side; without another in the bucket, no probe
-    probes = attach(index, top, ["key"], "inner", by=["node"]).filter("own < top").drop("top")
-    index = index.select("key", F.col("node").alias("other"), *others, F.col("own").alias("rank"))
+    probes = full.filter("own < top").drop("top")
+    index = full.select("key", F.col("node").alias("other"), *[F.col(c).alias(f"other_{c}") for c in more], F.col("own").alias("rank"))
     across = probes.join(index, "key").filter((F.col("own") < F.col("rank")) & alike("other_"))
     across = verify(across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-    return stored(edges.unionByName(across), "links")
+    links = stored(edges.unionByName(across), "links")
+    discard(edges, mixed, full, ranks)
+    return links
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
@@ -415,9 +424,12 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         return df.withColumn("rk", F.xxhash64(F.col("row")["doc_id"], F.col("row")["text"])).withColumn("id", F.col("row")["doc_id"])
 
     rows = row_key(docs.select(F.struct("*").alias("row")))
-    marked = stored(rows.select("rk", "id", mark(F.col("row")["text"]).alias("m")).select("rk", "id", "m.*"), "marks")
+    made = stored(rows.select("rk", "id", mark(F.col("row")["text"]).alias("m")).select("rk", "id", "m.*"), "marks")
     order = F.struct(F.col("id").isNull().alias("nil"), F.col("id").alias("id"), F.col("rk").alias("rk"))
-    classes = stored(marked.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.first("keys").alias("keys")), "classes")
+    wide = stored(made.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.first("keys").alias("keys")), "classes")
+    # the keys, most of what is written, are kept in one table only
+    marked, classes = stored(made.select("rk", "id", "node"), "marks"), stored(wide.drop("keys"), "classes")
+    discard(made)
 
     def alike(edges: DataFrame) -> DataFrame:
         """Edges whose two texts are similar enough; only their texts are read again."""
@@ -429,9 +441,13 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         for end in ("a", "b"):
             edges = attach(edges, own.select(F.col("node").alias(end), F.col("hashes").alias(f"{end}_set")), [end], "inner")
         both = F.size(F.array_intersect("a_set", "b_set"))
-        return stored(edges.filter(both >= least * (F.size("a_set") + F.size("b_set") - both) - 1e-9).select("a", "b"), "alike")
+        found = stored(edges.filter(both >= least * (F.size("a_set") + F.size("b_set") - both) - 1e-9).select("a", "b"), "alike")
+        discard(own)
+        return found
 
-    roots = components(link_shared(classes.select("n", *names), classes.select(F.explode("keys").alias("key"), "node"), may_be, alike))
+    keys = stored(wide.select(F.explode("keys").alias("key"), "node"), "keys")
+    discard(wide)
+    roots = components(link_shared(classes.select(*names), keys, may_be, alike))
     groups = stored(classes.join(roots, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "groups")
     firsts = groups.groupBy("root").agg(F.sum("n").alias("rows"), F.min("first").alias("kept")).filter("rows > 1")
     chosen = stored(attach(groups.select("node", "root"), firsts, ["root"], "inner").select("node", "kept"), "chosen")
