@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reptally.llm.common import ascii_lower, stored
+from reptally.llm.common import stored
 
 DEPTH = 4
 BLOCK_BYTES = 16 << 20
@@ -78,7 +78,7 @@ def _symbols(depth: int):
         words: dict[str, int] = {}
         grams = []
         for held, part in block.groupby("held_out"):
-            texts = [t.encode() for t in part["text"]]
+            texts = [t.encode().lower() for t in part["text"]]
             own = 0 if held else 1
             for a, b in _chunks(texts):
                 keys, n = np.unique(_grams(texts[a:b], depth)[0], return_counts=True)
@@ -154,7 +154,8 @@ def weigh(grams: DataFrame, depth: int) -> DataFrame:
 def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    plain = docs.select(F.col("doc_id").cast("string").alias("id"), held.alias("held_out"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
+    # workers lower A-Z in the bytes, where a text is encoded anyway
+    plain = docs.select(F.col("doc_id").cast("string").alias("id"), held.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     size = plain.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     dealt = plain.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
@@ -175,7 +176,7 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
         known_words = values[values["word"].notna()]
         value = dict(zip((w.encode() for w in known_words["word"]), known_words["value"], strict=True))
         unknown = {w.encode() for w in known_words["word"][~known_words["known"].astype(bool)]}
-        texts = [t.encode() for t in block["text"]]
+        texts = [t.encode().lower() for t in block["text"]]
         scores = np.zeros(len(texts))
         for a, b in _chunks(texts):
             found, starts = _grams(texts[a:b], depth)
