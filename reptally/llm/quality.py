@@ -216,12 +216,16 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     documents with their own columns instead."""
     model = fit(docs, labels, sample)
     rows = docs.select(F.struct("*").alias("row")).select("row", _site(host).alias("host"), _site(path).alias("path"))
-    scored = rows.withColumn("p", evidence(docs, model, F.col("row")["text"]))
-    if not columns:
-        scored = stored(scored.select(F.struct(F.col("row")["doc_id"].alias("doc_id")).alias("row"), "host", "path", "p"), "scored")
+    # equal rows have equal names, and are judged alike
+    named = [F.col("row")["doc_id"], F.col("row")["text"], "host", "path"]
+    rows = rows.select("row", "host", "path", F.xxhash64(*named).alias("rk"), F.hash(*named).alias("rk2"))
+    scored = stored(rows.select(F.col("row")["doc_id"].alias("doc_id"), "rk", "rk2", "host", "path", evidence(docs, model, F.col("row")["text"]).alias("p")), "scored")
     known = sites(scored.select("host", "path", "p"))
     odds = _logit(F.col("p")) + _logit(F.col("p_path")) - _logit(F.col("prior"))
-    rated = attach(scored, known, ["host", "path"], "inner", by=["row"]).withColumn("score", 1 / (1 + F.exp(-odds)))
+    rated = attach(scored, known, ["host", "path"], "inner", by=["rk"]).withColumn("score", 1 / (1 + F.exp(-odds)))
     if columns:
-        return rated.filter("score >= 0.5").select(*[F.col("row")[c].alias(c) for c in docs.columns])
-    return rated.select(F.col("row")["doc_id"].alias("doc_id"), F.col("p").alias("p_document"), "p_host", "p_path", "score", (F.col("score") >= 0.5).alias("keep"))
+        # texts are read once more, without the classifier beside them
+        gone = stored(rated.filter("score < 0.5").select("rk", "rk2").distinct(), "rejected")
+        left = attach(rows, gone, ["rk", "rk2"], "left_anti", by=["host", "path"], weights=scored.groupBy("rk", "rk2").agg(F.count(F.lit(1)).alias("n_rows")))
+        return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return rated.select("doc_id", F.col("p").alias("p_document"), "p_host", "p_path", "score", (F.col("score") >= 0.5).alias("keep"))
