@@ -35,7 +35,7 @@ def discard(*tables: DataFrame) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
-        jvm.System.gc()
+    SparkSession.active().sparkContext._jvm.System.gc()
 
 
 def ascii_lower(text: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reptally.functions.joins import attach
-from reptally.llm.common import same_row, stored, text_key
+from reptally.llm.common import discard, same_row, stored, text_key
 
 MIN_WORDS = 50
 #: Lines around an anchor's place in the first document that come along to extend its block.
@@ -153,8 +153,9 @@ def cuts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return pd.Series([[{"run": r, "i": i, "n": n} for r, i, n in runs_of(h, w, min_words)] for h, w in zip(hashes, words, strict=True)])
 
     each_run = stored(docs_lines.select("id", "h", F.explode(runs("hash", "words")).alias("r")).select("id", "h", "r.*"), "runs")
-    repeated = each_run.groupBy("run").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
-    later = attach(each_run, stored(repeated.select("run", "first"), "repeated-runs"), ["run"], "inner", by=["id", "h"]).filter(order != F.col("first"))
+    firsts_of = each_run.groupBy("run").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last")
+    firsts_of = stored(firsts_of.select("run", "first"), "repeated-runs")
+    later = attach(each_run, firsts_of, ["run"], "inner", by=["id", "h"]).filter(order != F.col("first"))
     run = F.struct("i", "n")
     both = hits.select("id", "h", hit.alias("hit"), F.lit(None).cast("struct<i: int, n: int>").alias("run"))
     both = both.unionByName(later.select("id", "h", run.alias("run")), allowMissingColumns=True)
@@ -175,7 +176,9 @@ def cuts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return pd.Series(out)
 
     both = per_doc.join(docs_lines.alias("d"), same_row(per_doc, docs_lines, "id", "h")).select(per_doc["id"], per_doc["h"], align("hash", "words", "at", "hits", "runs").alias("gone"))
-    return stored(both.filter(F.size("gone") > 0).dropDuplicates(["id", "h"]), "cuts")
+    found = stored(both.filter(F.size("gone") > 0).dropDuplicates(["id", "h"]), "cuts")
+    discard(docs_lines, repeated, shared, firsts, each_run, firsts_of)
+    return found
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False) -> DataFrame:

@@ -21,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reptally.functions.joins import attach
@@ -34,6 +34,8 @@ BINS = 1 << 18
 _BLOCK = 1 << 10
 #: 64-bit words of a set's odd sketch.
 SKETCH = 8
+#: Rows of a key up to which one task may hold them all.
+RUN = 1 << 13
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -320,7 +322,8 @@ def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
             n += np.bincount((np.concatenate(held) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
         blocks = n.reshape(-1, _BLOCK)
         some = np.flatnonzero(blocks.any(1))
-        yield pd.DataFrame({"block": some.astype("int32"), "n": [blocks[k].tolist() for k in some]})
+        if len(some):
+            yield pd.DataFrame({"block": some.astype("int32"), "n": [blocks[k].tolist() for k in some]})
 
     def add(found: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": found["block"].iloc[:1], "n": [np.sum(np.stack(found["n"].to_list()), 0).tolist()]})
@@ -341,41 +344,74 @@ def rarest(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
     return hashes[order[: n - int(np.ceil(least * n - 1e-9)) + 1]] if n else hashes
 
 
-def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame], pivots: int = 2) -> DataFrame:
+def with_ends(keys: DataFrame) -> DataFrame:
+    """(key, node, lo, hi, n_rows) for keys of several nodes: the least and the greatest node of each.
+
+    Keys are counted first, and only those of several nodes go on. Keys of up to RUN rows get
+    their ends where the join left them; for longer ones the ends are aggregated before a shuffle.
+    """
+    several = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1"), "several")
+    discard()
+    whole = Window.partitionBy("key")
+    short = keys.join(several.filter(F.col("n_rows") <= RUN), "key").select("key", "node", F.min("node").over(whole).alias("lo"), F.max("node").over(whole).alias("hi"), "n_rows")
+    tables = [short]
+    long = several.filter(F.col("n_rows") > RUN)
+    if not long.isEmpty():
+        rows = stored(attach(keys, long.withColumn("n", F.col("n_rows")), ["key"], "inner", by=["node"], counted="n"), "long-keys")
+        ends = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n"))
+        tables.append(attach(rows, ends, ["key"], "inner", by=["node"], counted="n").select("key", "node", "lo", "hi", "n_rows"))
+    shared = stored(reduce(DataFrame.unionByName, tables), "shared-keys")
+    discard(several, *([rows] if len(tables) > 1 else []))
+    return shared
+
+
+def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Edges (a, b) that connect whatever shares a key and passes ``alike`` and ``verify``.
 
     ``nodes`` (node, and further columns of longs for ``alike``), nodes unique. ``alike`` gets a
     prefix and returns a condition on a column and that of the other node (with the prefix), by
-    which candidates are ruled out before they are listed. ``keys`` (key, node), rows unique, a
-    written table that is deleted here. As in ``link``, each key is linked to a few pivots first,
-    then only nodes of different components are compared, from the smaller component's side. Key
-    tables hold keys, nodes and components only; what ``alike`` needs is fetched per pair with a
-    pivot, and for the keys that still hold several components.
+    which candidates are ruled out before they are listed. ``keys`` (key, node), rows unique, come
+    from a written table that is deleted here. The nodes of a key are compared with its least node
+    first, then with its greatest unless they are connected already. Keys of more than three nodes
+    whose nodes still are in different components are compared whole, from the smaller component's
+    side. Key tables hold keys, nodes and components only; what ``alike`` needs is fetched per pair
+    with an end of a key, and for the keys that still hold several components.
     """
     more = [c for c in nodes.columns if c != "node"]
-    several = stored(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n_rows")).filter("lo < hi").select("key", "n_rows"), "several")
-    shared = stored(attach(keys, several, ["key"], "inner", by=["node"], counted="n_rows").select("key", "node"), "shared-keys")
-    discard(keys, several)
-    near = []
-    for k in range(pivots):
-        # whatever is near a pivot needs no other link
-        pivot = shared.groupBy("key").agg(F.max(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("other"))).alias("m")).select("key", "m.other")
-        found = attach(shared, pivot, ["key"], "inner", by=["node"]).filter("node <> other")
-        near.append(found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
-    pairs = stored(reduce(DataFrame.union, near).distinct(), "pivot-pairs")
-    # a pivot may be in any share of the pairs
-    both = attach(pairs, nodes.withColumnRenamed("node", "a"), ["a"], "inner", by=["b"])
-    both = attach(both, nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in more]), ["b"], "inner", by=["a"])
-    edges = stored(verify(both.filter(alike("other_")).select("a", "b")), "pivot-edges")
-    discard(pairs)
+    shared = with_ends(keys)
+    discard(keys)
+
+    def near(end: str) -> DataFrame:
+        # whatever is near an end of its key needs no other link
+        return shared.filter(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")).distinct()
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        # an end may be in any share of the pairs
+        both = attach(pairs, nodes.withColumnRenamed("node", "a"), ["a"], "inner", by=["b"])
+        both = attach(both, nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in more]), ["b"], "inner", by=["a"])
+        return verify(both.filter(alike("other_")).select("a", "b"))
+
+    pairs = stored(near("lo"), "pairs")
+    edges = stored(checked(pairs), "edges")
+    so_far = stored(components(edges), "roots")
+    # pairs with the other end, but for those seen and those connected by now
+    other = near("hi").join(pairs, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        other = attach(other, so_far.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), [end], "left")
+    other = stored(other.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "pairs")
+    discard(pairs, so_far)
+    edges = stored(edges.unionByName(checked(other)), "pivot-edges")
+    discard(other)
     so_far = components(edges)
     size = so_far.groupBy("root").agg(F.count(F.lit(1)).alias("c_size"))
     ranks = stored(attach(so_far, size, ["root"], "left").select("node", F.struct("c_size", F.col("root").alias("c_root")).alias("own")), "ranks")
-    ranked = shared.join(ranks, "node", "left").withColumn("own", F.coalesce("own", F.struct(F.lit(1).cast("long").alias("c_size"), F.col("node").alias("c_root"))))
-    ranked = stored(ranked, "ranked")
+    # of two or three nodes, all pairs have been compared
+    ranked = shared.filter("n_rows > 3").select("key", "node").join(ranks, "node", "left")
+    ranked = stored(ranked.withColumn("own", F.coalesce("own", F.struct(F.lit(1).cast("long").alias("c_size"), F.col("node").alias("c_root")))), "ranked")
+    discard(shared)
     mixed = ranked.groupBy("key").agg(F.min("own").alias("least"), F.max("own").alias("top")).filter("least < top").select("key", "top")
     mixed = stored(attach(ranked, mixed, ["key"], "inner", by=["node"]), "mixed-keys")
-    discard(shared, ranked)
+    discard(ranked)
     full = stored(mixed.join(nodes, "node"), "mixed-keys")
     # a pair of two components is found from the smaller one's side; without another in the bucket, no probe
     probes = full.filter("own < top").drop("top")
@@ -427,7 +463,7 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
     made = stored(rows.select("rk", "id", mark(F.col("row")["text"]).alias("m")).select("rk", "id", "m.*"), "marks")
     order = F.struct(F.col("id").isNull().alias("nil"), F.col("id").alias("id"), F.col("rk").alias("rk"))
     wide = stored(made.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.first("keys").alias("keys")), "classes")
-    # the keys, most of what is written, are kept in one table only
+    # the keys, most of what is written, go with the wide table
     marked, classes = stored(made.select("rk", "id", "node"), "marks"), stored(wide.drop("keys"), "classes")
     discard(made)
 
@@ -445,9 +481,8 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         discard(own)
         return found
 
-    keys = stored(wide.select(F.explode("keys").alias("key"), "node"), "keys")
-    discard(wide)
-    roots = components(link_shared(classes.select(*names), keys, may_be, alike))
+    # the keys are read from the classes' own lists
+    roots = components(link_shared(classes.select(*names), wide.select(F.explode("keys").alias("key"), "node"), may_be, alike))
     groups = stored(classes.join(roots, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "groups")
     firsts = groups.groupBy("root").agg(F.sum("n").alias("rows"), F.min("first").alias("kept")).filter("rows > 1")
     chosen = stored(attach(groups.select("node", "root"), firsts, ["root"], "inner").select("node", "kept"), "chosen")

@@ -142,6 +142,11 @@ def test_stage_keeps_one_of_each_group(docs, edge_rows):
     assert simhash.drop_near_copies(df.limit(0)).count() == 0
 
 
+def test_counts_take_partitions_without_rows(spark, docs):
+    texts = docs((1, "a b c")).select("text").repartition(1).unionByName(docs((2, None)).select("text").filter("text is not null"))
+    assert simhash.shingle_counts(texts, 5).sum() == 1
+
+
 def test_odd_sketches_differ_in_no_more_bits_than_sets_in_hashes():
     rng = np.random.default_rng(5)
     for n, other in [(0, 0), (0, 3), (1, 0), (40, 10), (400, 90), (3000, 700), (3000, 3000)]:
@@ -153,8 +158,10 @@ def test_odd_sketches_differ_in_no_more_bits_than_sets_in_hashes():
         assert differ <= len(np.setdiff1d(own, both)) and (differ > 0 or other == 0)
 
 
-def test_stage_links_all_that_brute_force_does(docs, no_broadcast):
+@pytest.mark.parametrize("run", [simhash.RUN, 2])
+def test_stage_links_all_that_brute_force_does(docs, no_broadcast, monkeypatch, run):
     """Truncated, lengthened, framed and short copies, and chains of them."""
+    monkeypatch.setattr(simhash, "RUN", run)
     rnd = random.Random(21)
     vocabulary = [f"v{k}" for k in range(3000)]
     text = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
