@@ -452,9 +452,14 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         bits = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(other + c))) for c in sketch])
         return (small >= least * large - 1e-9) & (bits <= (1 - least) / (1 + least) * (small + large) + 1e-9)
 
-    @F.pandas_udf("array<long>")
-    def sets(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, size)).view(np.int64).tolist() for t in texts])
+    @F.pandas_udf("boolean")
+    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            x, y = np.unique(shingle_hashes(x, size)), np.unique(shingle_hashes(y, size))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+        return pd.Series(out, dtype=bool)
 
     def row_key(df: DataFrame) -> DataFrame:
         return df.withColumn("rk", F.xxhash64(F.col("row")["doc_id"], F.col("row")["text"])).withColumn("id", F.col("row")["doc_id"])
@@ -473,11 +478,11 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
         readers = stored(ends.join(classes, "node").select("node", F.col("first.rk").alias("rk")), "compared")
         texts = attach(rows.select("rk", F.col("row")["text"].alias("text")), readers, ["rk"], "inner")
-        own = stored(texts.select("node", sets("text").alias("hashes")).dropDuplicates(["node"]), "shingles")
+        # texts are shuffled, which compress, not their hashes, which don't
+        own = stored(texts.select("node", "text").dropDuplicates(["node"]), "texts")
         for end in ("a", "b"):
-            edges = attach(edges, own.select(F.col("node").alias(end), F.col("hashes").alias(f"{end}_set")), [end], "inner")
-        both = F.size(F.array_intersect("a_set", "b_set"))
-        found = stored(edges.filter(both >= least * (F.size("a_set") + F.size("b_set") - both) - 1e-9).select("a", "b"), "alike")
+            edges = attach(edges, own.select(F.col("node").alias(end), F.col("text").alias(f"{end}_text")), [end], "inner")
+        found = stored(edges.filter(similar("a_text", "b_text")).select("a", "b"), "alike")
         discard(own)
         return found
 
