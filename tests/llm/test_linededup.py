@@ -85,6 +85,26 @@ def test_against_brute_force(docs):
         seen |= set(own)
 
 
+def test_moved_and_reversed_lines_take_linear_time():
+    """50,000 lines in reverse order of an earlier document, and runs set against other places."""
+    n = 50_000
+    own = list(range(n))
+    hits = [(9, n - 1 - i, True, [], [], i) for i in range(n)]
+    assert linededup.aligned(own, [10] * n, hits, 11) == set()
+    assert linededup.aligned(own, [10] * n, hits, 11, [(9, 7, 100, 3), (8, 0, 200, 2)]) == {100, 101, 102, 200, 201}
+    assert linededup.kept_ranges([1, 2, 4], [0, 2, 5, 6, 8, 9]) == [{"a": 0, "n": 2}, {"a": 6, "n": 2}, {"a": 9, "n": linededup._REST}]
+
+
+def test_document_of_many_lines(docs):
+    """A text of 50,000 lines that a second document repeats but for its ends and one line in between."""
+    own = [f"{k} one two three four" for k in range(50_000)]
+    copy = ["first line of its own", *own[:20_000], "", "a line between", *own[20_000:], "last line of its own"]
+    got, _ = run(docs, [(1, "\n".join(own)), (2, "\n".join(copy)), (3, "\n".join(own[30_000:30_009]))])
+    assert got[1] == "\n".join(own)
+    assert got[2] == "first line of its own\n\na line between\nlast line of its own"
+    assert got[3].split("\n") == own[30_000:30_009]  # 45 words
+
+
 def test_passage_whose_lines_all_came_first_elsewhere(docs):
     own = [line(6) for _ in range(10)]
     rows = [(1, "\n".join(own[:5])), (2, "\n".join(own[5:]))] + [(k, "\n".join([line(), *own, line()])) for k in (3, 4, 5)]
