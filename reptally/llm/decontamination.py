@@ -11,17 +11,22 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reptally.functions.joins import attach
+from reptally.llm.common import discard, stored
+
 WINDOW = 10
-#: Bytes of normalised benchmark text in one broadcast set; a larger benchmark is scanned in several sets.
+#: Bytes of benchmark text in one broadcast set; a larger benchmark is dealt to parts, one pass each.
 SET_BYTES = 32 << 20
 
 _RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+_CLEANED = "struct<hit: boolean, keep: boolean, text: string>"
 _SPLIT = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
@@ -75,62 +80,134 @@ class NgramSet:
     def clean(self, data: bytes) -> bytes:
         """The text without its hit words; looks again, as what is left moves together."""
         while True:
-            spans = [m.span() for m in _WORD.finditer(data)]
-            hit, _ = self.scan([data[a:b].lower() for a, b in spans])
+            hit, _ = self.scan(words_of(data))
             if not hit.any():
                 return data
-            kept, at = [], 0
-            for i in np.flatnonzero(np.diff(np.concatenate([[False], hit])) & hit):
-                j = i
-                while j < len(hit) and hit[j]:
-                    j += 1
-                kept.append(data[at : spans[i][0]])
-                at = spans[j - 1][1]
-            data = b"".join(kept) + data[at:]
-
-
-def _sets(benchmark: DataFrame, set_bytes: int) -> list[list[tuple[str | None, bytes]]]:
-    """Benchmark items in sets of at most ``set_bytes`` (a longer item has a set of its own)."""
-    sets, size = [[]], 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).filter("t <> ''").toLocalIterator():
-        data = row.t.encode()
-        if sets[-1] and size + len(data) > set_bytes:
-            sets.append([])
-            size = 0
-        sets[-1].append((row.i, data))
-        size += len(data)
-    return sets
+            data = _cut(data, hit)
+
+
+def _items(rows: list) -> list[tuple[str | None, bytes]]:
+    return [(r["i"], r["t"].encode()) for r in rows]
+
+
+class Parts:
+    """The benchmark dealt to parts of at most ``set_bytes`` by a hash of its distinct items.
+
+    One part at a time is read and broadcast. A part above the bound is one single item.
+    """
+
+    def __init__(self, benchmark: DataFrame, set_bytes: int):
+        items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).filter("t <> ''")
+        total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+        self.n, self.items = 1, items
+        if total <= set_bytes:
+            return
+        items = stored(items.distinct(), "benchmark")
+        self.n = -(-2 * total // set_bytes)
+        while True:  # hashes don't deal evenly: finer, until the bound holds
+            self.items = items.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(self.n)).cast("int"))
+            sizes = self.items.groupBy("part").agg(F.sum(F.octet_length("t")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+            if sizes.filter((F.col("bytes") > set_bytes) & (F.col("n") > 1)).isEmpty():
+                break
+            self.n *= 2
+
+    def __iter__(self) -> Iterator[list[tuple[str | None, bytes]]]:
+        for k in range(self.n):
+            yield _items((self.items.filter(F.col("part") == k) if self.n > 1 else self.items).collect())
+
+
+def _ranges(hit: np.ndarray) -> list[dict[str, int]]:
+    """(first word, end) of the runs of hit words."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
+    return [{"a": int(a), "b": int(b)} for a, b in edges.reshape(-1, 2)]
+
+
+def _finder(shared, window: int):
+    """Column function from texts to the hit words and the items of one broadcast part."""
+
+    @F.pandas_udf("struct<spans: array<struct<a: int, b: int>>, items: array<string>>")
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        grams = NgramSet(shared.value, window)
+        for batch in batches:
+            out = [grams.scan(words_of(t.encode()) if t else []) for t in batch]
+            yield pd.DataFrame({"spans": [_ranges(h) for h, _ in out], "items": [[i for i in s if i is not None] for _, s in out]})
+
+    return look
+
+
+def _hits(texts: DataFrame, parts: Parts, window: int) -> DataFrame:
+    """(rid, spans, items) for the rows of ``texts`` (rid, text) that have hits in any part: one pass
+    per part, hits united by row."""
+    spark, found = texts.sparkSession, []
+    for items in parts:
+        if not items:
+            continue
+        shared = spark.sparkContext.broadcast(items)
+        seen = texts.select("rid", _finder(shared, window)("text").alias("r")).select("rid", "r.*").filter(F.size("spans") > 0)
+        found.append(stored(seen, "part-hits"))
+        shared.destroy()
+    if not found:
+        return texts.select("rid", F.lit(None).cast("array<struct<a: int, b: int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items")).limit(0)
+    # a row has at most one entry per part
+    united = reduce(DataFrame.unionByName, found).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    united = stored(united, "hits")
+    discard(*found)
+    return united
+
+
+def _marks(n: int, spans) -> np.ndarray:
+    hit = np.zeros(n, bool)
+    for s in spans if spans is not None else []:
+        hit[s["a"] : s["b"]] = True
+    return hit
+
+
+def _cut(data: bytes, hit: np.ndarray) -> bytes:
+    """``data`` without its hit words and what separates neighbours of them."""
+    spans, kept, at = [m.span() for m in _WORD.finditer(data)], [], 0
+    for r in _ranges(hit):
+        kept.append(data[at : spans[r["a"]][0]])
+        at = spans[r["b"] - 1][1]
+    return b"".join(kept) + data[at:]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_bytes: int = SET_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    shared = [docs.sparkSession.sparkContext.broadcast(s) for s in _sets(benchmark, set_bytes)]
+    parts = Parts(benchmark, set_bytes)
+
+    def described(words: list[int], hits: list[np.ndarray], named: list[list[str]]) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "n_words": words,
+                "n_hit": [int(h.sum()) for h in hits],
+                "n_items": [len(n) for n in named],
+                "items_sha256": [hashlib.sha256(",".join(n).encode()).hexdigest() for n in named],
+                "contaminated": [bool(h.any()) for h in hits],
+            }
+        )
+
+    if parts.n == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(next(iter(parts)))
+
+        @F.pandas_udf(_RESULT)
+        def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            grams = NgramSet(shared.value, window)
+            for batch in batches:
+                words = [words_of(t.encode()) if t else [] for t in batch]
+                found = [grams.scan(w) for w in words]
+                yield described([len(w) for w in words], [h for h, _ in found], [sorted(i for i in s if i is not None) for _, s in found])
+
+        return docs.select("doc_id", look("text").alias("r")).select("doc_id", "r.*")
+
+    rows = stored(docs.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id()), "scanned")
 
     @F.pandas_udf(_RESULT)
-    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        # a benchmark above the bound has several sets; one is held at a time and a batch waits for all
-        single = NgramSet(shared[0].value, window) if len(shared) == 1 else None
-        for batch in batches:
-            words = [words_of(t.encode()) if t else [] for t in batch]
-            hits, items = [np.zeros(len(w), bool) for w in words], [set() for _ in words]
-            for part in shared:
-                grams = single or NgramSet(part.value, window)
-                for k, w in enumerate(words):
-                    hit, found = grams.scan(w)
-                    hits[k] |= hit
-                    items[k] |= found
-            named = [sorted(i for i in s if i is not None) for s in items]
-            yield pd.DataFrame(
-                {
-                    "n_words": [len(w) for w in words],
-                    "n_hit": [int(h.sum()) for h in hits],
-                    "n_items": [len(n) for n in named],
-                    "items_sha256": [hashlib.sha256(",".join(n).encode()).hexdigest() for n in named],
-                    "contaminated": [bool(h.any()) for h in hits],
-                }
-            )
-
-    return docs.select("doc_id", look("text").alias("r")).select("doc_id", "r.*")
+    def summed(texts: pd.Series, spans: pd.Series, items: pd.Series) -> pd.DataFrame:
+        n = [len(words_of(t.encode())) if t else 0 for t in texts]
+        return described(n, [_marks(k, s) for k, s in zip(n, spans, strict=True)], [sorted(i) if i is not None else [] for i in items])
+
+    joined = attach(rows, _hits(rows.select("rid", "text"), parts, window), ["rid"], "left")
+    return joined.select("doc_id", summed("text", "spans", "items").alias("r")).select("doc_id", "r.*")
 
 
 def decontaminate(
@@ -138,38 +215,49 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without the words that lie in benchmark windows; a document of which at least
     ``drop_share`` is hit goes. Clean rows come out byte for byte."""
-    shared = [docs.sparkSession.sparkContext.broadcast(s) for s in _sets(benchmark, set_bytes)]
+    parts = Parts(benchmark, set_bytes)
+    text = F.when(F.col("out.hit"), F.col("out.text")).otherwise(F.col("row")["text"])
+    if parts.n == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(next(iter(parts)))
 
-    @F.pandas_udf("struct<hit: boolean, keep: boolean, text: string>")
-    def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        single = NgramSet(shared[0].value, window) if len(shared) == 1 else None
-        for batch in batches:
-            words = [words_of(t.encode()) if t else [] for t in batch]
-            left = [t.encode() if t else b"" for t in batch]
-            hits = [np.zeros(len(w), bool) for w in words]
-            changed = True
-            while changed:  # once more over all sets until none has a hit
-                changed = False
-                for part in shared:
-                    grams = single or NgramSet(part.value, window)
-                    for k, w in enumerate(words):
-                        hit, _ = grams.scan(w)
-                        hits[k] |= hit
-                        if hits[k].any():
-                            new = grams.clean(left[k])
-                            changed |= new != left[k] and len(shared) > 1
-                            left[k] = new
-            yield pd.DataFrame(
-                {
-                    "hit": [bool(h.any()) for h in hits],
-                    "keep": [not h.any() or h.mean() < drop_share for h in hits],
-                    "text": [d.decode() if h.any() else None for d, h in zip(left, hits, strict=True)],
-                }
-            )
-
-    inner = docs.select(F.struct("*").alias("row"), cleaned("text").alias("out"))
-    cols = [
-        F.when(F.col("out.hit"), F.col("out.text")).otherwise(F.col("row.text")).alias(c) if c == "text" else F.col("row")[c].alias(c)
-        for c in docs.columns
-    ]
-    return inner.filter("out.keep").select(*cols)
+        @F.pandas_udf(_CLEANED)
+        def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            grams = NgramSet(shared.value, window)
+            for batch in batches:
+                out = []
+                for t in batch:
+                    data = t.encode() if t else b""
+                    hit, _ = grams.scan(words_of(data))
+                    some = bool(hit.any())
+                    out.append((some, not some or hit.mean() < drop_share, grams.clean(data).decode() if some else None))
+                yield pd.DataFrame(out, columns=["hit", "keep", "text"])
+
+        inner = docs.select(F.struct("*").alias("row"), cleaned("text").alias("out")).filter("out.keep")
+        return inner.select(*[(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
+
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "decontaminated")
+
+    @F.pandas_udf(_CLEANED)
+    def without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, s in zip(texts, spans, strict=True):
+            hit = _marks(len(words_of(t.encode())), s)
+            out.append((True, hit.mean() < drop_share, _cut(t.encode(), hit).decode()))
+        return pd.DataFrame(out, columns=["hit", "keep", "text"])
+
+    def less(texts: DataFrame) -> DataFrame:
+        found = _hits(texts, parts, window).select("rid", "spans")
+        both = attach(texts, found, ["rid"], "inner").withColumn("out", without("text", "spans"))
+        return stored(both.select("rid", "out.*"), "changed")
+
+    # rows that lost words are looked at again, in all parts, until none loses any
+    first = less(rows.select("rid", F.col("row")["text"].alias("text")))
+    rounds, left = [], first.filter("keep")
+    while not left.isEmpty():
+        left = less(left.select("rid", "text"))
+        rounds.append(left.select("rid", "text", F.lit(len(rounds) + 1).alias("round")))
+    final = reduce(DataFrame.unionByName, rounds, first.filter("keep").select("rid", "text", F.lit(0).alias("round")))
+    final = final.groupBy("rid").agg(F.max_by("text", "round").alias("text"))
+    out = stored(first.select("rid", "hit", "keep").join(final, "rid", "left").select("rid", F.struct("hit", "keep", "text").alias("out")), "cleaned")
+    inner = attach(rows, out, ["rid"], "left").filter(F.coalesce("out.keep", F.lit(True)))
+    return inner.select(*[(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])

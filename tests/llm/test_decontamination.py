@@ -88,3 +88,24 @@ def test_empty_tables(docs, bench):
     (r,) = decontamination.scan(docs((1, "a short item")), bench.limit(0)).collect()
     assert (r["n_words"], r["n_hit"], r["contaminated"]) == (3, 0, False)
     assert decontamination.decontaminate(docs((1, "a short item")), bench.limit(0)).count() == 1
+
+
+def test_parts_of_a_large_benchmark(spark, docs):
+    """A benchmark of ten times the bound, most of it one repeated item: parts stay within the bound,
+    one is held at a time, and what is cut is what a single set would cut."""
+    items = [(f"i{k}", " ".join(f"w{k}x{j}" for j in range(12))) for k in range(300)] + [("again", "same " * 11 + "end")] * 40
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    bound = sum(len(t) for _, t in set(items)) // 10
+    parts = decontamination.Parts(bench, bound)
+    held = [sum(len(t) for _, t in part) for part in parts]
+    assert parts.n >= 10 and max(held) <= bound and sum(held) == sum(len(t) for _, t in set(items))
+    texts = [(k, f"clean {k} " * 30 + items[k][1] + " and " + items[(k + 7) % 60][1] + " tail" * 20) for k in range(60)]
+    texts += [(100, items[3][1]), (101, None), (102, "nothing here")]
+    # the first item's removal joins the halves of the second
+    a, b = items[5][1], items[9][1].split()
+    texts.append((103, "x " * 40 + " ".join(b[:6]) + " " + a + " " + " ".join(b[6:])))
+    whole, dealt = (sorted(decontamination.decontaminate(docs(*texts), bench, set_bytes=n).collect()) for n in (1 << 20, bound))
+    assert whole == dealt and 100 not in [r["doc_id"] for r in dealt]
+    got = {r["doc_id"]: r["text"] for r in dealt}
+    assert got[103].split() == ["x"] * 40 and got[101] is None and got[102] == "nothing here"
+    assert sorted(decontamination.scan(docs(*texts), bench, set_bytes=bound).collect()) == sorted(decontamination.scan(docs(*texts), bench).collect())
