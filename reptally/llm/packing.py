@@ -14,8 +14,6 @@ from __future__ import annotations
 import bisect
 import os
 import re
-import sys
-import types
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import pairwise
@@ -36,7 +34,7 @@ SLACK = 32
 END_ID = 1
 #: Windows of so many partitions are merged in one task.
 MERGED = 64
-#: Words that a worker keeps between runs of texts; beyond, it starts anew.
+#: Words that a task keeps between runs of texts; beyond, it starts anew.
 _CACHED_WORDS = 300_000
 #: Bytes of text that are encoded together.
 _RUN_BYTES = 2 << 20
@@ -46,23 +44,6 @@ _MARKS = "!#$%&*~^.,;:?"
 _END = np.array([END_ID], "<u4").tobytes()
 
 
-def _worker(tokenizer: str) -> tuple:
-    """Tokenizer, its ids that end a word, and ids of known words: one of each per Python
-    worker, which Spark uses for many tasks."""
-    held = vars(sys.modules.setdefault("_packing_words", types.ModuleType("_packing_words")))
-    if tokenizer not in held:
-        # a task has one core
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(tokenizer)
-        ends = np.zeros(model.get_vocab_size(), bool)
-        for token, k in model.get_vocab().items():
-            ends[k] = token.endswith("</w>")
-        held[tokenizer] = (model, ends, {})
-    return held[tokenizer]
-
-
 def _encode(words: list[str], model, ends: np.ndarray, known: dict[str, bytes]) -> None:
     """Adds the ids of ``words`` to ``known``. A word of letters is one run up to its end, so
     many are encoded as one text and told apart by their ends; where that doesn't give one end a
@@ -83,43 +64,63 @@ def _encode(words: list[str], model, ends: np.ndarray, known: dict[str, bytes])
         known[w] = np.array(e.ids, "<u4").tobytes()
 
 
-def token_bytes(texts: pa.Array | list[str | None], tokenizer: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers, without special ids.
+class Encoder:
+    """A tokenizer, its ids that end a word, and ids of the words known so far. A task has one of its
+    own, and nothing stays in the Python worker when the task ends."""
 
-    The tokenizer drops white space and never joins what it separates, nor letters and marks, so
-    that the ids of a text are those of its words. Each distinct word is looked up once a call,
-    and the words' ids are put together in arrays.
-    """
-    model, ends, known = _worker(tokenizer)
-    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
-    words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " "), " ")
-    coded = words.flatten().dictionary_encode()
-    # a distinct word is its letters and the marks that end it, or else one part and no marks
-    whole = coded.dictionary
-    core = pc.utf8_rtrim(whole, _MARKS)
-    plain = pc.utf8_is_alpha(core)
-    marked = pc.and_(plain, pc.less(pc.binary_length(core), pc.binary_length(whole)))
-    tails = np.full(len(whole), "", object)
-    tails[marked.to_numpy(zero_copy_only=False)] = pc.replace_substring_regex(whole.filter(marked), f"^.*[^{re.escape(_MARKS)}]", "").to_numpy(zero_copy_only=False)
-    cores = pc.if_else(plain, pc.ascii_lower(core), whole).dictionary_encode()
-    marks = pa.array(tails, pa.string()).dictionary_encode()
-    if len(known) > _CACHED_WORDS:
-        known.clear()
-    distinct = cores.dictionary.to_pylist() + marks.dictionary.to_pylist()
-    _encode(list({p for p in distinct if p not in known}), model, ends, known)
-    found = [known[p] for p in distinct]
-    ids = np.frombuffer(b"".join(found), "<u4")
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    starts = np.cumsum(sizes) - sizes
-    # both parts of each word, one after the other
-    part = np.stack([cores.indices.to_numpy(), marks.indices.to_numpy() + len(cores.dictionary)], axis=1)
-    part = part[coded.indices.to_numpy()].ravel()
-    lengths = sizes[part]
-    ends_at = np.cumsum(lengths)
-    data = ids[np.repeat(starts[part] - (ends_at - lengths), lengths) + np.arange(lengths.sum())].tobytes()
-    bounds = 2 * (words.offsets.to_numpy() - words.offsets[0].as_py())
-    cuts = (4 * np.concatenate([[0], ends_at])[bounds]).tolist()
-    return [data[a:b] for a, b in pairwise(cuts)]
+    def __init__(self, tokenizer: str):
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(tokenizer)
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        for token, k in self.model.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
+        self.known: dict[str, bytes] = {}
+
+    def token_bytes(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers, without special ids.
+
+        The tokenizer drops white space and never joins what it separates, nor letters and marks, so
+        that the ids of a text are those of its words. Each distinct word is looked up once a call,
+        and the words' ids are put together in arrays.
+        """
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        # a distinct word is its letters and the marks that end it, or else one part and no marks
+        whole = coded.dictionary
+        core = pc.utf8_rtrim(whole, _MARKS)
+        plain = pc.utf8_is_alpha(core)
+        marked = pc.and_(plain, pc.less(pc.binary_length(core), pc.binary_length(whole)))
+        tails = np.full(len(whole), "", object)
+        tails[marked.to_numpy(zero_copy_only=False)] = pc.replace_substring_regex(whole.filter(marked), f"^.*[^{re.escape(_MARKS)}]", "").to_numpy(zero_copy_only=False)
+        cores = pc.if_else(plain, pc.ascii_lower(core), whole).dictionary_encode()
+        marks = pa.array(tails, pa.string()).dictionary_encode()
+        known = self.known
+        if len(known) > _CACHED_WORDS:
+            known.clear()
+        distinct = cores.dictionary.to_pylist() + marks.dictionary.to_pylist()
+        _encode(list({p for p in distinct if p not in known}), self.model, self.ends, known)
+        found = [known[p] for p in distinct]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        # both parts of each word, one after the other
+        part = np.stack([cores.indices.to_numpy(), marks.indices.to_numpy() + len(cores.dictionary)], axis=1)
+        part = part[coded.indices.to_numpy()].ravel()
+        lengths = sizes[part]
+        ends_at = np.cumsum(lengths)
+        data = ids[np.repeat(starts[part] - (ends_at - lengths), lengths) + np.arange(lengths.sum())].tobytes()
+        bounds = 2 * (words.offsets.to_numpy() - words.offsets[0].as_py())
+        cuts = (4 * np.concatenate([[0], ends_at])[bounds]).tolist()
+        return [data[a:b] for a, b in pairwise(cuts)]
+
+
+def token_bytes(texts: pa.Array | list[str | None], tokenizer: str) -> list[bytes]:
+    """Ids of each text, see :meth:`Encoder.token_bytes`."""
+    return Encoder(tokenizer).token_bytes(texts)
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -197,7 +198,7 @@ def pack(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        windows, held = Windows(length, most, slack), {}
+        windows, held, encoder = Windows(length, most, slack), {}, None
         count, kind = 0, None
 
         def rows(closed: Iterable, is_open: bool) -> Iterator[tuple]:
@@ -221,9 +222,10 @@ def pack(
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
+            encoder = encoder or Encoder(tokenizer)
             for at, n in _slices(batch.column("text")):
                 part, out = batch.slice(at, n), []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), token_bytes(part.column("text"), tokenizer), strict=True):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.token_bytes(part.column("text")), strict=True):
                     ids += _END
                     held[count] = [doc_id, ids, len(ids) // 4]
                     out += rows(windows.add(len(ids) // 4, (count, 0)), False)
