@@ -91,7 +91,7 @@ def test_empty_tables(docs, bench):
 
 
 def test_parts_of_a_large_benchmark(spark, docs):
-    """A benchmark of ten times the bound, most of it one repeated item: parts stay within the bound,
+    """A benchmark of ten times the bound, with an item that comes 40 times: parts stay within the bound,
     one is held at a time, and what is cut is what a single set would cut."""
     items = [(f"i{k}", " ".join(f"w{k}x{j}" for j in range(12))) for k in range(300)] + [("again", "same " * 11 + "end")] * 40
     bench = spark.createDataFrame(items, "item_id string, text string")
