@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reptally.functions.joins import attach
-from reptally.llm.common import components, discard, same_row, stored
+from reptally.llm.common import components, discard, stored
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -34,6 +34,8 @@ BINS = 1 << 18
 _BLOCK = 1 << 10
 #: 64-bit words of a set's odd sketch.
 SKETCH = 8
+#: Hashes of a set up to which that sketch is all; larger sets have one that grows with them.
+FEW = 32 * SKETCH
 #: Rows of a key up to which one task may hold them all.
 RUN = 1 << 13
 
@@ -71,6 +73,27 @@ def odd_sketch(hashes: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8").tolist()
 
 
+def wide_sketch(hashes: np.ndarray) -> bytes:
+    """An odd sketch of at least two bits a hash (a power of two); nothing for FEW hashes or less."""
+    if len(hashes) <= FEW:
+        return b""
+    bits = 1 << (2 * len(hashes) - 1).bit_length()
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which two wide sketches differ, the longer one folded to the other's length; sets
+    differ in at least as many hashes."""
+    if not a or not b:
+        return 0
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.unpackbits(x ^ y).sum(dtype=np.int64))
+
+
 def fingerprint(text: Column, size: int = 3, once: bool = False) -> Column:
     """SimHash of a text's shingles; with ``once`` each distinct shingle counts once."""
 
@@ -267,6 +290,7 @@ def link(
         found = attach(index.drop("n"), pivot, ["key"], "inner", by=["node"]).filter(apart & (F.col("node") != F.col("other")))
         near.append(found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
     edges = stored(keep(reduce(DataFrame.union, near).distinct()), "pivot-edges")
+    discard(index)
     groups_so_far = stored(components(edges), "pivot-groups")
     size = groups_so_far.groupBy("root").agg(F.count(F.lit(1)).alias("c_size"))
     ranks = stored(attach(groups_so_far, size, ["root"], "left").select("node", F.col("root").alias("c_root"), "c_size"), "ranks")
@@ -287,7 +311,9 @@ def link(
         apart = apart & late_alike("other_")
     across = probes.join(index, "key").filter((F.col("own") < F.col("rank")) & apart)
     across = keep(across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-    return stored(edges.unionByName(across), "links")
+    links = stored(edges.unionByName(across), "links")
+    discard(edges, groups_so_far, ranks, ranked, index)
+    return links
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3) -> DataFrame:
@@ -344,69 +370,58 @@ def rarest(hashes: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
     return hashes[order[: n - int(np.ceil(least * n - 1e-9)) + 1]] if n else hashes
 
 
-def with_ends(keys: DataFrame) -> DataFrame:
-    """(key, node, lo, hi, n_rows) for keys of several nodes: the least and the greatest node of each.
+def with_least(keys: DataFrame) -> DataFrame:
+    """(key, node, lo, n_rows) for keys of several nodes: the least node of each.
 
-    Keys are counted first, and only those of several nodes go on. Keys of up to RUN rows get
-    their ends where the join left them; for longer ones the ends are aggregated before a shuffle.
+    Keys are counted first, and only those of several rows go on. Keys of up to RUN rows get their
+    least node where the join left them; for longer ones it is aggregated before a shuffle.
     """
     several = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1"), "several")
     discard()
     whole = Window.partitionBy("key")
-    short = keys.join(several.filter(F.col("n_rows") <= RUN), "key").select("key", "node", F.min("node").over(whole).alias("lo"), F.max("node").over(whole).alias("hi"), "n_rows")
-    tables = [short]
+    # a row that comes several times counts once
+    short = keys.join(several.filter(F.col("n_rows") <= RUN).select("key"), "key").select("key", "node").dropDuplicates(["key", "node"])
+    tables = [short.select("key", "node", F.min("node").over(whole).alias("lo"), F.count(F.lit(1)).over(whole).alias("n_rows")).filter("n_rows > 1")]
     long = several.filter(F.col("n_rows") > RUN)
     if not long.isEmpty():
-        rows = stored(attach(keys, long.withColumn("n", F.col("n_rows")), ["key"], "inner", by=["node"], counted="n"), "long-keys")
-        ends = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n"))
-        tables.append(attach(rows, ends, ["key"], "inner", by=["node"], counted="n").select("key", "node", "lo", "hi", "n_rows"))
+        rows = attach(keys, long.withColumn("n", F.col("n_rows")), ["key"], "inner", by=["node"], counted="n")
+        rows = stored(rows.select("key", "node").distinct(), "long-keys")
+        ends = rows.groupBy("key").agg(F.min("node").alias("lo"), F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+        tables.append(attach(rows, ends.withColumn("n", F.col("n_rows")), ["key"], "inner", by=["node"], counted="n").select("key", "node", "lo", "n_rows"))
     shared = stored(reduce(DataFrame.unionByName, tables), "shared-keys")
     discard(several, *([rows] if len(tables) > 1 else []))
     return shared
 
 
-def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Edges (a, b) that connect whatever shares a key and passes ``alike`` and ``verify``.
+def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame], edges: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect whatever shares a key and passes ``alike`` and ``verify``, with ``edges``.
 
     ``nodes`` (node, and further columns of longs for ``alike``), nodes unique. ``alike`` gets a
     prefix and returns a condition on a column and that of the other node (with the prefix), by
-    which candidates are ruled out before they are listed. ``keys`` (key, node), rows unique, come
-    from a written table that is deleted here. The nodes of a key are compared with its least node
-    first, then with its greatest unless they are connected already. Keys of more than three nodes
-    whose nodes still are in different components are compared whole, from the smaller component's
-    side. Key tables hold keys, nodes and components only; what ``alike`` needs is fetched per pair
-    with an end of a key, and for the keys that still hold several components.
+    which candidates are ruled out before they are listed. ``keys`` are (key, node). Nodes that
+    ``edges`` (links found before) connect are not compared again. The nodes of a key are compared
+    with its least node first. Keys of more than two nodes whose nodes still are in different
+    components are compared whole, from the smaller component's side. Key tables hold keys, nodes
+    and components only; what ``alike`` needs is fetched per pair with the least node of a key, and
+    for the keys that still hold several components.
     """
     more = [c for c in nodes.columns if c != "node"]
-    shared = with_ends(keys)
-    discard(keys)
-
-    def near(end: str) -> DataFrame:
-        # whatever is near an end of its key needs no other link
-        return shared.filter(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")).distinct()
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        # an end may be in any share of the pairs
-        both = attach(pairs, nodes.withColumnRenamed("node", "a"), ["a"], "inner", by=["b"])
-        both = attach(both, nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in more]), ["b"], "inner", by=["a"])
-        return verify(both.filter(alike("other_")).select("a", "b"))
-
-    pairs = stored(near("lo"), "pairs")
-    edges = stored(checked(pairs), "edges")
-    so_far = stored(components(edges), "roots")
-    # pairs with the other end, but for those seen and those connected by now
-    other = near("hi").join(pairs, ["a", "b"], "left_anti")
+    so_far = components(edges)
+    shared = with_least(keys)
+    pairs = shared.filter("node <> lo").select(F.least("node", "lo").alias("a"), F.greatest("node", "lo").alias("b")).distinct()
+    # a least node may be in any share of the pairs
     for end in ("a", "b"):
-        other = attach(other, so_far.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), [end], "left")
-    other = stored(other.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "pairs")
+        pairs = attach(pairs, so_far.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), [end], "left")
+    pairs = stored(pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "pairs")
+    both = attach(pairs, nodes.withColumnRenamed("node", "a"), ["a"], "inner", by=["b"])
+    both = attach(both, nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in more]), ["b"], "inner", by=["a"])
+    edges = stored(edges.unionByName(verify(both.filter(alike("other_")).select("a", "b"))), "edges")
     discard(pairs, so_far)
-    edges = stored(edges.unionByName(checked(other)), "pivot-edges")
-    discard(other)
     so_far = components(edges)
     size = so_far.groupBy("root").agg(F.count(F.lit(1)).alias("c_size"))
     ranks = stored(attach(so_far, size, ["root"], "left").select("node", F.struct("c_size", F.col("root").alias("c_root")).alias("own")), "ranks")
-    # of two or three nodes, all pairs have been compared
-    ranked = shared.filter("n_rows > 3").select("key", "node").join(ranks, "node", "left")
+    # of two nodes, the pair has been compared
+    ranked = shared.filter("n_rows > 2").select("key", "node").join(ranks, "node", "left")
     ranked = stored(ranked.withColumn("own", F.coalesce("own", F.struct(F.lit(1).cast("long").alias("c_size"), F.col("node").alias("c_root")))), "ranked")
     discard(shared)
     mixed = ranked.groupBy("key").agg(F.min("own").alias("least"), F.max("own").alias("top")).filter("least < top").select("key", "top")
@@ -419,23 +434,25 @@ def link_shared(nodes: DataFrame, keys: DataFrame, alike: Callable[[str], Column
     across = probes.join(index, "key").filter((F.col("own") < F.col("rank")) & alike("other_"))
     across = verify(across.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
     links = stored(edges.unionByName(across), "links")
-    discard(edges, mixed, full, ranks)
+    discard(edges, mixed, full, ranks, so_far)
     return links
 
 
-def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
+def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8, radius: int = 3) -> DataFrame:
     """``docs`` with one row, that of the smallest id, for each group of near copies.
 
-    A link is a Jaccard similarity of at least ``least`` on shingles of ``size`` words, and all such
-    pairs are candidates: they share one of their rarest shingles. Rows of equal words are one
-    node. Null ids come last.
+    A link is a Jaccard similarity of at least ``least`` on shingles of ``size`` words. Texts whose
+    SimHashes (of three-word shingles) differ in up to ``radius`` bits are found by the generalised
+    pigeonhole, as :func:`near_duplicates` does, and compared exactly. SimHash cannot promise all
+    such links, so the rest follows: pairs in different components so far share one of their
+    rarest shingles. Rows of equal words are one node. Null ids come last.
     """
 
     sketch = [f"odd_{k}" for k in range(SKETCH)]
-    names = ["node", "size", *sketch]
+    names = ["node", "fp", "size", *sketch]
     counts = shingle_counts(docs, size)
 
-    @F.pandas_udf(f"struct<{', '.join(f'{c}: long' for c in names)}, keys: array<long>>")
+    @F.pandas_udf(f"struct<{', '.join(f'{c}: long' for c in names)}, wide: binary, keys: array<long>>")
     def mark(texts: pd.Series) -> pd.DataFrame:
         from xxhash import xxh64_intdigest
 
@@ -443,14 +460,21 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         for t in texts:
             own = np.unique(shingle_hashes(t, size))
             node = np.uint64(xxh64_intdigest(b" ".join((t or "").encode().lower().split()), 7)).view(np.int64)
-            out.append((int(node), len(own), *odd_sketch(own), rarest(own, counts, least).view(np.int64)))
-        return pd.DataFrame(out, columns=[*names, "keys"]).astype(dict.fromkeys(names, "int64"))
+            out.append((int(node), majority(shingle_hashes(t, 3)), len(own), *odd_sketch(own), wide_sketch(own), rarest(own, counts, least).view(np.int64)))
+        return pd.DataFrame(out, columns=[*names, "wide", "keys"]).astype(dict.fromkeys(names, "int64"))
+
+    # sets that similar differ in so many of all their hashes at most
+    apart = (1 - least) / (1 + least)
 
     def may_be(other: str) -> Column:
         """Sets that similar have sizes as similar; they differ in few enough hashes, and their sketches in no more bits."""
         small, large = F.least("size", f"{other}size"), F.greatest("size", f"{other}size")
         bits = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(other + c))) for c in sketch])
-        return (small >= least * large - 1e-9) & (bits <= (1 - least) / (1 + least) * (small + large) + 1e-9)
+        return (small >= least * large - 1e-9) & (bits <= apart * (small + large) + 1e-9)
+
+    @F.pandas_udf("int")
+    def bits_apart(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([differing(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
 
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -467,28 +491,38 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
     rows = row_key(docs.select(F.struct("*").alias("row")))
     made = stored(rows.select("rk", "id", mark(F.col("row")["text"]).alias("m")).select("rk", "id", "m.*"), "marks")
     order = F.struct(F.col("id").isNull().alias("nil"), F.col("id").alias("id"), F.col("rk").alias("rk"))
-    wide = stored(made.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.first("keys").alias("keys")), "classes")
-    # the keys, most of what is written, go with the wide table
-    marked, classes = stored(made.select("rk", "id", "node"), "marks"), stored(wide.drop("keys"), "classes")
-    discard(made)
+    classes = stored(made.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")), "classes")
+    # keys, most of what is written, stay where they are; those of copies are left out
+    copies = attach(made.select("rk", "node"), classes.filter("n > 1").select("node", F.col("first.rk").alias("kept")), ["node"], "inner", by=["rk"])
+    copies = stored(copies.filter("rk <> kept").select("rk").distinct(), "copies")
+    own = attach(made, copies, ["rk"], "left_anti")
+    wide = stored(own.filter(F.octet_length("wide") > 0).select("node", "size", "wide").dropDuplicates(["node"]), "wide")
 
     def alike(edges: DataFrame) -> DataFrame:
-        """Edges whose two texts are similar enough; only their texts are read again."""
-        edges = stored(edges, "candidates")
-        ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
+        """Edges whose two texts are similar enough; only the texts that the sketches leave are read again."""
+        pairs = stored(edges, "candidates")
+        both = pairs
+        for end in ("a", "b"):
+            both = attach(both, wide.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("wide").alias(f"{end}_wide")), [end], "left")
+        few = F.col("a_wide").isNull() | F.col("b_wide").isNull()
+        near = stored(both.filter(few).select("a", "b").unionByName(both.filter(~few).filter(bits_apart("a_wide", "b_wide") <= apart * (F.col("a_size") + F.col("b_size")) + 1e-9).select("a", "b")), "candidates")
+        ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
         readers = stored(ends.join(classes, "node").select("node", F.col("first.rk").alias("rk")), "compared")
-        texts = attach(rows.select("rk", F.col("row")["text"].alias("text")), readers, ["rk"], "inner")
+        texts = attach(rows.select("rk", F.col("row")["text"].alias("text")), readers.select("rk"), ["rk"], "left_semi")
         # texts are shuffled, which compress, not their hashes, which don't
-        own = stored(texts.select("node", "text").dropDuplicates(["node"]), "texts")
+        own = stored(texts.join(readers, "rk").select("node", "text").dropDuplicates(["node"]), "texts")
+        both = near
         for end in ("a", "b"):
-            edges = attach(edges, own.select(F.col("node").alias(end), F.col("text").alias(f"{end}_text")), [end], "inner")
-        found = stored(edges.filter(similar("a_text", "b_text")).select("a", "b"), "alike")
-        discard(own)
+            both = attach(both, own.select(F.col("node").alias(end), F.col("text").alias(f"{end}_text")), [end], "inner")
+        found = stored(both.filter(similar("a_text", "b_text")).select("a", "b"), "alike")
+        discard(pairs, near, readers, own)
         return found
 
-    # the keys are read from the classes' own lists
-    roots = components(link_shared(classes.select(*names), wide.select(F.explode("keys").alias("key"), "node"), may_be, alike))
-    groups = stored(classes.join(roots, "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "groups")
+    close = link(classes.select("node", "fp", "n"), radius, alike)
+    links = link_shared(classes.select("node", "size", *sketch), own.select(F.explode("keys").alias("key"), "node"), may_be, alike, close)
+    marked = stored(made.select("rk", "id", "node"), "marks")
+    discard(made, wide, copies, close)
+    groups = stored(classes.join(components(links), "node", "left").select("node", "n", "first", F.coalesce("root", "node").alias("root")), "groups")
     firsts = groups.groupBy("root").agg(F.sum("n").alias("rows"), F.min("first").alias("kept")).filter("rows > 1")
     chosen = stored(attach(groups.select("node", "root"), firsts, ["root"], "inner").select("node", "kept"), "chosen")
     ruled = attach(marked, chosen, ["node"], "inner", by=["rk"])
@@ -496,8 +530,13 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
         ruled.groupBy("rk", "id").agg(F.max((F.col("rk") == F.col("kept.rk")) & F.col("id").eqNullSafe(F.col("kept.id"))).alias("stays"), F.count(F.lit(1)).alias("copies")),
         "ruled",
     )
-    joined = rows.join(ruled.hint("merge"), same_row(rows, ruled, "rk", "id"), "left").select(rows["row"], rows["rk"], "stays", "copies")
-    left = joined.filter(F.coalesce("stays", F.lit(True)))
-    if not ruled.filter("stays and copies > 1").isEmpty():  # a row that comes several times stays once
-        left = left.filter("coalesce(copies, 1) = 1").unionByName(left.filter("copies > 1").dropDuplicates(["rk"]))
+    discard(links, marked, classes, groups, chosen)
+    # only the names of rows that go, or that stay once of several, meet the texts
+    known = ["rk", "known"]
+    name = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("known")
+    rows = rows.select("row", "rk", name)
+    left = attach(rows, stored(ruled.filter("not stays").select("rk", name), "gone"), known, "left_anti")
+    again = stored(ruled.filter("stays and copies > 1").select("rk", name), "again")
+    if not again.isEmpty():  # a row that comes several times stays once
+        left = attach(left, again, known, "left_anti").unionByName(attach(left, again, known, "left_semi").dropDuplicates(known))
     return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -195,3 +195,53 @@ def test_similar_sets_share_one_of_their_rarest_hashes(least):
             other = np.union1d(rng.permutation(own)[rng.integers(0, n) :], rng.integers(0, 1 << 63, rng.integers(0, n // 4 + 1), dtype=np.uint64))
             if len(np.intersect1d(own, other)) >= least * len(np.union1d(own, other)) - 1e-9:
                 assert len(np.intersect1d(simhash.rarest(own, counts, least), simhash.rarest(other, counts, least)))
+
+
+def test_stage_links_by_simhash_before_the_rest(docs, monkeypatch):
+    """Links come from the pigeonhole on op5's fingerprints; what it can't see comes after."""
+    rnd = random.Random(12)
+    vocabulary = [f"v{k}" for k in range(2000)]
+    texts = []
+    for _ in range(12):
+        words = [rnd.choice(vocabulary) for _ in range(400)]
+        one = list(words)
+        one[rnd.randrange(400)] = "other"
+        texts += [words, one, words[:340]]
+    texts = [" ".join(t) for t in texts]
+    links = []
+
+    def recorded(*args, _link=simhash.link, **named):
+        edges = _link(*args, **named)
+        links.extend((r["a"], r["b"]) for r in edges.collect())
+        return edges
+
+    monkeypatch.setattr(simhash, "link", recorded)
+    left = simhash.drop_near_copies(docs(*enumerate(texts))).collect()
+    at = {int(np.uint64(xxh64_intdigest(t.encode(), 7)).view(np.int64)): k for k, t in enumerate(texts)}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    fps = [fingerprint(t) for t in texts]
+    near = {(a, b) for b in range(len(texts)) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    close = {(a, b) for a, b in near if (fps[a] ^ fps[b]).bit_count() <= 3}
+    found = {tuple(sorted((at[a], at[b]))) for a, b in links}
+    assert found and found <= close and {b for _, b in found} == {b for _, b in close}
+    assert close < near  # the rest is there to be found, and is
+    assert sorted(r["doc_id"] for r in left) == list(range(0, 36, 3))
+
+
+def test_wide_sketches_differ_in_no_more_bits_than_sets_in_hashes():
+    rng = np.random.default_rng(6)
+    assert simhash.differing(b"", simhash.wide_sketch(np.arange(1000, dtype=np.uint64))) == 0
+    for n, other in [(300, 0), (300, 20), (500, 60), (1000, 240), (4000, 900), (900, 5000)]:
+        both = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        own = np.unique(rng.integers(0, 1 << 63, other, dtype=np.uint64))
+        a, b = simhash.wide_sketch(both), simhash.wide_sketch(np.union1d(both, own))
+        assert 8 * len(a) >= 2 * len(both) and 8 * len(b) >= 2 * (n + other)
+        differ = simhash.differing(a, b)
+        assert differ == simhash.differing(b, a) <= other and (differ > other // 2 or len(a) < len(b) or not other)
+
+
+def test_stage_keeps_repeated_rows_once(docs):
+    rnd = random.Random(2)
+    text = " ".join(rnd.choice("abcdefghij") * rnd.randint(1, 9) for _ in range(300))
+    rows = [(7, text)] * 5 + [(8, text + " tail")] * 3 + [(None, text)] * 2 + [(9, "alone in the table with its words")] * 2 + [(None, "a text without an id, twice")] * 2
+    assert sorted(str(r["doc_id"]) for r in simhash.drop_near_copies(docs(*rows)).collect()) == ["7", "9", "None"]
