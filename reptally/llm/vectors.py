@@ -38,6 +38,8 @@ FIT = 20
 OVERLAP = 2
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 16, 1.2, 8
 AUDITED, RECALL = 256, 0.9
+#: Cells of the matrices that a task works on at once, whatever the size of a group or label.
+CELLS = 1 << 20
 
 
 def unit(rows) -> np.ndarray:
@@ -45,11 +47,25 @@ def unit(rows) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _blocks(n: int, width: int) -> list[slice]:
+    """Rows of a matrix of ``n`` by ``width`` in blocks of up to CELLS cells."""
+    step = max(1, CELLS // max(1, width))
+    return [slice(at, at + step) for at in range(0, n, step)]
+
+
+def _products(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``a`` and ``b`` of ``x``, pair by pair."""
+    out = np.empty(len(a), x.dtype)
+    for part in _blocks(len(a), x.shape[1]):
+        out[part] = np.einsum("pd,pd->p", x[a[part]], x[b[part]])
+    return out
+
+
 def fit_centres(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     """Centres of unit vectors by a few rounds of k-means on the sphere; rows are in hash order."""
     centres = x[:k].copy()
     for _ in range(rounds):
-        own = np.argmax(x @ centres.T, axis=1)
+        own = np.concatenate([np.argmax(x[rows] @ centres.T, axis=1) for rows in _blocks(len(x), len(centres))])
         sums = np.zeros_like(centres)
         np.add.at(sums, own, x)
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -64,13 +80,21 @@ def pruned(x: np.ndarray) -> list[np.ndarray]:
         return [np.zeros(0, int)]
     c = min(CANDIDATES, n - 1)
     near = np.empty((n, c), int)
-    for at in range(0, n, 512):
-        block = -(x[at : at + 512] @ x.T)
-        block[np.arange(len(block)), at + np.arange(len(block))] = np.inf
+    for rows in _blocks(n, n):
+        block = -(x[rows] @ x.T)
+        block[np.arange(len(block)), rows.start + np.arange(len(block))] = np.inf
         part = np.argpartition(block, c - 1, axis=1)[:, :c]
         order = np.argsort(np.take_along_axis(block, part, 1), axis=1, kind="stable")
-        near[at : at + 512] = np.take_along_axis(part, order, 1)
-    far = 1 - np.einsum("nd,ncd->nc", x, x[near])
+        near[rows] = np.take_along_axis(part, order, 1)
+
+    def apart(of: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Distance of each row ``of`` to each of its row of ``others``."""
+        out = np.empty(others.shape)
+        for part in _blocks(len(of), c * x.shape[1]):
+            out[part] = 1 - np.einsum("nd,ncd->nc", x[of[part]], x[others[part]])
+        return out
+
+    far = apart(np.arange(n), near)
     alive, kept = np.ones((n, c), bool), [[] for _ in range(n)]
     for _ in range(DEGREE):
         rows = np.flatnonzero(alive.any(1))
@@ -80,27 +104,34 @@ def pruned(x: np.ndarray) -> list[np.ndarray]:
         chosen = near[rows, first]
         for r, p in zip(rows, chosen, strict=True):
             kept[r].append(p)
-        between = 1 - np.einsum("nd,ncd->nc", x[chosen], x[near[rows]])
-        alive[rows] &= ALPHA * between > far[rows]
+        alive[rows] &= ALPHA * apart(chosen, near[rows]) > far[rows]
         alive[rows, first] = False
     return [np.array(k, int) for k in kept]
 
 
-def search(x: np.ndarray, lists: list[np.ndarray], least: float) -> list[tuple[int, int]]:
-    """Pairs within range, by greedy search for every vector from the medoid and on through the
-    range. ``lists`` are neighbours by place."""
+def search(x: np.ndarray, lists: list[np.ndarray], least: float) -> np.ndarray:
+    """Pairs within range (rows of a < b), by greedy search for every vector from the medoid and on
+    through the range. ``lists`` are neighbours by place. Vectors are searched for in blocks."""
     n = len(x)
     medoid = int(np.argmax(x @ x.mean(0)))
-    wide = max([1, *map(len, lists)])
-    table = np.full((n, wide), -1)
-    for i, nb in enumerate(lists):
-        table[i, : len(nb)] = nb
-    seen = np.zeros((n, n), bool)
-    q = np.arange(n)
-    beam = np.full((n, BEAM), -1)
-    score = np.full((n, BEAM), -2.0)
-    done = np.zeros((n, BEAM), bool)
-    beam[:, 0], score[:, 0] = medoid, x @ x[medoid]
+    ends = np.concatenate([[0], np.cumsum([len(nb) for nb in lists])])
+    graph = np.concatenate([*lists, np.zeros(0, int)]).astype(np.int64), ends
+    found = [_search(x, graph, medoid, block, least) for block in _blocks(n, n)]
+    keys = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]))
+    return np.stack([keys // n, keys % n], axis=1)
+
+
+def _search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], medoid: int, block: slice, least: float) -> np.ndarray:
+    """Pairs within range of the vectors of one block, as smaller place * len(x) + larger place."""
+    n, first = len(x), block.start
+    own = np.arange(first, min(block.stop, n))
+    m = len(own)
+    seen = np.zeros((m, n), bool)
+    q = np.arange(m)
+    beam = np.full((m, BEAM), -1)
+    score = np.full((m, BEAM), -2.0)
+    done = np.zeros((m, BEAM), bool)
+    beam[:, 0], score[:, 0] = medoid, x[own] @ x[medoid]
     seen[:, medoid] = True
     found_q, found_v = [], []
     inside = np.flatnonzero(score[:, 0] >= least)
@@ -113,8 +144,8 @@ def search(x: np.ndarray, lists: list[np.ndarray], least: float) -> list[tuple[i
         if not len(rows):
             break
         done[rows, best[rows]] = True
-        a, b = _expand(x, table, seen, rows, beam[rows, best[rows]])
-        s = np.einsum("pd,pd->p", x[a], x[b])
+        a, b = _expand(graph, seen, rows, beam[rows, best[rows]])
+        s = _products(x, first + a, b)
         hit = s >= least
         found_q.append(a[hit])
         found_v.append(b[hit])
@@ -123,44 +154,49 @@ def search(x: np.ndarray, lists: list[np.ndarray], least: float) -> list[tuple[i
         a, b, s = a[order], b[order], s[order]
         at = np.arange(len(a)) - np.searchsorted(a, a)
         ok = at < BEAM
-        more_b, more_s = np.full((n, BEAM), -1), np.full((n, BEAM), -2.0)
+        more_b, more_s = np.full((m, BEAM), -1), np.full((m, BEAM), -2.0)
         more_b[a[ok], at[ok]], more_s[a[ok], at[ok]] = b[ok], s[ok]
         all_b, all_s = np.hstack([beam, more_b]), np.hstack([score, more_s])
-        all_d = np.hstack([done, np.zeros((n, BEAM), bool)])
+        all_d = np.hstack([done, np.zeros((m, BEAM), bool)])
         top = np.argsort(-all_s, axis=1, kind="stable")[:, :BEAM]
         beam, score, done = (np.take_along_axis(z, top, 1) for z in (all_b, all_s, all_d))
     # each vector lies in its own range, and so does what its range leads to
-    own = q[~seen[q, q]]
-    seen[own, own] = True
-    front_q, front_v = np.concatenate([own, *found_q]), np.concatenate([own, *found_v])
-    found_q.append(own)
-    found_v.append(own)
+    alone = q[~seen[q, own]]
+    seen[alone, own[alone]] = True
+    front_q, front_v = np.concatenate([alone, *found_q]), np.concatenate([own[alone], *found_v])
+    found_q.append(alone)
+    found_v.append(own[alone])
     while len(front_q):
-        a, b = [], []
-        for at in range(0, len(front_q), 1 << 16):
-            m, o = _expand(x, table, seen, front_q[at : at + (1 << 16)], front_v[at : at + (1 << 16)])
-            hit = np.einsum("pd,pd->p", x[m], x[o]) >= least
-            a.append(m[hit])
-            b.append(o[hit])
-        front_q, front_v = np.concatenate(a), np.concatenate(b)
+        a, b = _expand(graph, seen, front_q, front_v)
+        hit = _products(x, first + a, b) >= least
+        front_q, front_v = a[hit], b[hit]
         found_q.append(front_q)
         found_v.append(front_v)
-    a, b = np.concatenate(found_q), np.concatenate(found_v)
-    ok = a != b
-    return sorted(set(zip(np.minimum(a, b)[ok].tolist(), np.maximum(a, b)[ok].tolist(), strict=True)))
-
-
-def _expand(x, table, seen, queries, nodes) -> tuple[np.ndarray, np.ndarray]:
-    """(query, neighbour) for neighbours of ``nodes`` that the queries have not seen yet."""
-    b = table[nodes].ravel()
-    a = np.repeat(queries, table.shape[1])
-    ok = b >= 0
-    a, b = a[ok], b[ok]
-    ok = ~seen[a, b]
-    key = np.unique(a[ok] * np.int64(len(x)) + b[ok])
-    a, b = key // len(x), key % len(x)
-    seen[a, b] = True
-    return a, b
+    a, b = first + np.concatenate(found_q), np.concatenate(found_v)
+    a, b = a[a != b], b[a != b]
+    return np.unique(np.minimum(a, b) * np.int64(n) + np.maximum(a, b))
+
+
+def _expand(graph: tuple[np.ndarray, np.ndarray], seen: np.ndarray, queries: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, neighbour) for neighbours of ``nodes`` that the queries have not seen yet; so many
+    lists at once as have about CELLS neighbours."""
+    flat, ends = graph
+    sizes = ends[nodes + 1] - ends[nodes]
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    found_a, found_b, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while at < len(nodes):
+        stop = max(at + 1, int(np.searchsorted(upto, upto[at] + CELLS, side="right")) - 1)
+        own = sizes[at:stop]
+        a = np.repeat(queries[at:stop], own)
+        b = flat[np.arange(upto[stop] - upto[at]) + np.repeat(ends[nodes[at:stop]] - (upto[at:stop] - upto[at]), own)]
+        ok = ~seen[a, b]
+        key = np.unique(a[ok] * np.int64(seen.shape[1]) + b[ok])
+        a, b = key // seen.shape[1], key % seen.shape[1]
+        seen[a, b] = True
+        found_a.append(a)
+        found_b.append(b)
+        at = stop
+    return np.concatenate(found_a), np.concatenate(found_b)
 
 
 def _dealt(classes: DataFrame, overlap: int) -> DataFrame:
@@ -231,11 +267,11 @@ def _links(classes: DataFrame, least: float, overlap: int) -> DataFrame:
             nb = np.sort(np.asarray(nb if nb is not None else [], np.int64))
             at = np.minimum(np.searchsorted(ids, nb), len(ids) - 1)
             lists.append(at[ids[at] == nb])
-        pairs = np.array(search(x.astype(np.float32), lists, least - 1e-4), int).reshape(-1, 2)
+        pairs = search(x.astype(np.float32), lists, least - 1e-4)
         # in double precision, from the vectors as they are given
         raw = np.stack([np.asarray(e, np.float64) for e in group["embedding"]])
         norms = np.sqrt(np.einsum("nd,nd->n", raw, raw))
-        cos = np.einsum("pd,pd->p", raw[pairs[:, 0]], raw[pairs[:, 1]]) / (norms[pairs[:, 0]] * norms[pairs[:, 1]])
+        cos = _products(raw, pairs[:, 0], pairs[:, 1]) / (norms[pairs[:, 0]] * norms[pairs[:, 1]])
         pairs = pairs[cos >= least]
         return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
 

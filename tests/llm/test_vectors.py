@@ -88,3 +88,30 @@ def test_many_copies_are_one_class(spark):
     rows = [(k, [1.0, 0.0, 0.5], 1) for k in range(500)] + [(500 + k, [1.0, 0.01 * k, 0.5], 1) for k in range(1, 5)]
     got = vectors.near_duplicates(frame(spark, rows)).collect()
     assert sorted((str(r["vec_id"]), r["n_links"], r["component_id"]) for r in got) == brute(rows)
+
+
+def test_work_of_a_group_comes_in_blocks(monkeypatch):
+    """Centres, pruning and search give the same in small blocks, and hold no matrix of all rows by all."""
+    rnd = np.random.default_rng(17)
+    x = vectors.unit(np.concatenate([rnd.normal(size=(300, 16)), rnd.normal(size=(1, 16)) + rnd.normal(size=(100, 16)) * 0.02]))
+    whole = vectors.fit_centres(x, 20), vectors.pruned(x)
+    hub = [np.union1d(nb, [0]).astype(int) for nb in whole[1]]
+    hub[0] = np.arange(len(x))
+    links = vectors.search(x.astype(np.float32), hub, 0.98)
+    assert len(links) > 4000 and (links[:, 0] < links[:, 1]).all()
+    monkeypatch.setattr(vectors, "CELLS", 512)
+    assert np.allclose(vectors.fit_centres(x, 20), whole[0])
+    assert all(np.array_equal(a, b) for a, b in zip(vectors.pruned(x), whole[1], strict=True))
+    assert np.array_equal(vectors.search(x.astype(np.float32), hub, 0.98), links)
+
+
+def test_centres_of_a_large_label_take_little_memory():
+    import tracemalloc
+
+    x = vectors.unit(np.random.default_rng(1).normal(size=(20_000, 8)))
+    tracemalloc.start()
+    try:
+        vectors.fit_centres(x, 1000, rounds=1)
+        assert tracemalloc.get_traced_memory()[1] < 40e6  # all rows by all centres are 160 MB
+    finally:
+        tracemalloc.stop()
