@@ -171,3 +171,49 @@ def test_taxon_ids_by_shuffle(spark, no_broadcast):
     first = wide.taxon_dim(make(300))
     second = wide.taxon_dim(make(500), first)
     assert sorted(int(r["taxon_id"][6:]) for r in second.collect()) == list(range(1, 501))
+
+
+def cells_of(table, index, column):
+    """Every cell of a wide table with columns, as rows."""
+    return table.unpivot(index, None, column, "reads").select(*index, column, "reads").collect()
+
+
+@pytest.mark.parametrize("per_block", [output.NAMES_PER_BLOCK, 2, 1])
+def test_cells_are_those_of_the_wide_table(spark, long, monkeypatch, per_block):
+    monkeypatch.setattr(output, "NAMES_PER_BLOCK", per_block)
+    monkeypatch.setattr(output, "CELLS_PER_TASK", 4)
+    start = long(
+        ("r", "b", "f", "t", 3), ("r", "a", "f", "t", 1), ("q", "a", "f", "t", 1), ("r", "e", "g", None, 2), ("r", "c", "h", "t", None),
+        ("r", None, "f", "t", 5), ("r", None, "only", "u", 5), *[("r", s, "all", "v", 4) for s in "abcde"],
+    )
+    key = lambda r: tuple(map(str, r))
+    want = cells_of(tb.count_matrix(start), ["feature", "taxon"], "sample")
+    got = tb.count_matrix(start, cells=True).select("feature", "taxon", "sample", "reads").collect()
+    assert sorted(got, key=key) == sorted(want, key=key) and len(got) == 25
+    sheet = spark.createDataFrame([("a", "Sample"), ("x", "Sample"), ("x", "Sample"), (None, None), ("p", "Control")], "sample string, sample_control string")
+    want = cells_of(tb.align_samples(start, sheet), ["taxon"], "sample")
+    assert sorted(tb.align_samples(start, sheet, cells=True).select("taxon", "sample", "reads").collect(), key=key) == sorted(want, key=key)
+    assert tb.count_matrix(start.limit(0), cells=True).count() == 0
+
+
+def test_cells_of_more_columns_than_a_pivot_may_have(spark, long):
+    limit = int(spark.conf.get("spark.sql.pivotMaxValues"))
+    many = spark.range(limit + 2000).selectExpr("'r' run", "concat('s', id) sample", "concat('f', id % 2) feature", "'t' taxon", "id + 1 reads")
+    got = tb.count_matrix(many, cells=True)
+    assert got.count() == 2 * (limit + 2000) == got.dropDuplicates(["feature", "sample"]).count()
+    assert rows(got.filter("reads > 0"), "feature", "taxon", "sample", "reads") == rows(many, "feature", "taxon", "sample", "reads")
+    assert tb.align_samples(many, spark.createDataFrame([("x", "S")], "sample string, sample_control string"), cells=True).count() == limit + 2001
+
+
+def test_text_tables_of_any_width_are_written_and_read(spark, long, tmp_path, monkeypatch):
+    monkeypatch.setattr(output, "CELLS_PER_FILE", 9000)
+    limit = int(spark.conf.get("spark.sql.pivotMaxValues"))
+    many = spark.range(limit + 1).selectExpr("concat('s', id) sample", "concat('merged_r_', id % 5) feature", "'t; a b' taxon", "id + 1 reads")
+    many = many.unionByName(long(("r", None, "merged_r_9", "", 4)).drop("run"))
+    path = output.write_wide(many, ["feature", "taxon"], "sample", "reads", str(tmp_path / "wide"), [wide.FEATURE_HEADER, wide.TAXON_HEADER])
+    assert len(list((tmp_path / "wide").glob("part-*"))) > 3
+    assert rows(wide.read_long(spark, [path]), "sample", "feature", "taxon", "reads") == rows(many.filter("sample is not null"), "sample", "feature", "taxon", "reads")
+    whole = wide.read_long(spark, [path], zeros=True)
+    assert whole.count() == 6 * (limit + 1) and whole.filter("feature = 'merged_r_9' and reads = 0 and taxon = ''").count() == limit + 1
+    empty = output.write_wide(many.limit(0), ["feature", "taxon"], "sample", "reads", str(tmp_path / "none"), [wide.FEATURE_HEADER, wide.TAXON_HEADER])
+    assert wide.read_long(spark, [empty], zeros=True).count() == 0
