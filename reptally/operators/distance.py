@@ -8,6 +8,7 @@ histograms are made without any table of pairs.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ UNITS_PER_BLOCK = 1024
 ROWS_PER_TASK = 100_000
 # rows from which on an item of a tile is summed as a matrix of its own
 DENSE_ITEM = 48
+# units up to which their places are broadcast to pairs
+BROADCAST_UNITS = 200_000
 # a spatial median is settled when no distance to it changes by more, or after so many rounds
 MEDIAN_CHANGE = 1e-5
 MEDIAN_ROUNDS = 100
@@ -35,6 +38,13 @@ MEDIAN_ROUNDS = 100
 CLASSES = ("PCR.replicates", "Biol.replicates", "Same Barcode Different Site", "Different Barcode")
 
 
+# sums of the smaller values per pair of units
+_SUMS = "grp string, a string, b string, shared double, total_a double, total_b double"
+# places of units, of which two make a cell of a tile, are below 2^_BITS, as are blocks
+_BITS = 20
+_SIDE = 1 << 40
+
+
 def table_size(long: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct samples and features."""
     kinds = F.approx_count_distinct if approximate else F.count_distinct
@@ -104,7 +114,7 @@ def _shared(rows: pa.Table) -> pa.Table:
     """Sum of the smaller values over shared items, for the pairs of one piece.
 
     Sorted by item, rows at distance s are compared all at once for s = 1, 2, ...; a
-    piece holds at most two blocks of units, which bounds the number of steps.
+    group of a piece has at most about 1,024 units, which bounds the number of steps.
     """
     grp, grp_names = _codes(rows["grp"])
     names, unit_names = _codes(rows["unit"])
@@ -124,8 +134,6 @@ def _shared(rows: pa.Table) -> pa.Table:
     by_item = np.lexsort((unit, item))
     item, unit = item[by_item], unit[by_item]
     value = rows["value"].to_numpy()[by_item]
-    block = rows["block"].to_numpy()[by_item]
-    crossing = (rows["lo"].to_numpy() != rows["hi"].to_numpy())[by_item]
     cells = offset[unit_grp] + local * sizes[unit_grp]
     sums = np.zeros(offset[-1])
     left = np.arange(len(item))
@@ -135,9 +143,8 @@ def _shared(rows: pa.Table) -> pa.Table:
         left = left[item[left] == item[left + s]]
         if not left.size:
             break
-        pick = left[(block[left] != block[left + s]) | ~crossing[left]]
-        a, b = unit[pick], unit[pick + s]
-        np.add.at(sums, cells[a] + local[b], np.minimum(value[pick], value[pick + s]))
+        a, b = unit[left], unit[left + s]
+        np.add.at(sums, cells[a] + local[b], np.minimum(value[left], value[left + s]))
 
     hit = np.flatnonzero(sums)
     g = np.searchsorted(offset, hit, side="right") - 1
@@ -184,55 +191,43 @@ def pair_distances(values: DataFrame, totals: DataFrame | None = None, every: bo
     """Bray-Curtis distance (grp, a < b, dist) of units of one group that share an item, or of
     all its units with ``every``.
 
-    Distances are 1 - 2 * sum(smaller value) / (sum of both). Units are cut into blocks
-    of about 1,024 and items into buckets; a task sees one pair of blocks on one bucket,
-    so neither a common item nor a large unit or group lands in one task as a whole, and
-    what leaves a task are sums per pair of units, not pairs per item.
+    Distances are 1 - 2 * sum(smaller value) / (sum of both). Groups of up to about 1,024 units
+    are dealt to tasks together, with items in buckets, so that a large group's items are several
+    pieces. Larger groups are cut into blocks of units, and every two blocks are a tile
+    (:func:`_tile_stream`), so neither a common item nor a large unit or group lands in one task as
+    a whole. What leaves a task are sums per pair of units, not pairs per item.
     """
     totals = unit_totals(values) if totals is None else totals
     per_piece = (F.col("n_values") / F.col("blocks") + F.col("largest")) * 2 / ROWS_PER_TASK
-    sizes = (
-        _blocks_of(totals)
-        .withColumn("buckets", F.greatest(F.lit(1), F.ceil(per_piece)))
-        .select("grp", "blocks", "buckets", "n_units")
-    )
-    units = attach(totals, sizes, ["grp"], "inner", by=["unit"], counted="n_units")
-    tiles = F.greatest(F.lit(1), F.ceil(total_of(totals, F.sum("n_rows")) / ROWS_PER_TASK))
-    rows = attach(values, units, ["grp", "unit"], "inner", by=["item"], counted="n_rows")
-    pieces = (
-        rows.withColumn("tile", F.pmod(F.xxhash64("grp"), tiles))
-        .withColumn("bucket", F.pmod(F.xxhash64("item"), F.col("buckets")))
-        .withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select(
-            "tile",
-            "bucket",
-            F.least("block", "other").alias("lo"),
-            F.greatest("block", "other").alias("hi"),
-            "block",
-            "grp",
-            "unit",
-            "item",
-            "value",
-            "total",
-        )
-    )
-    sums = pieces.groupBy("tile", "bucket", "lo", "hi").applyInArrow(
-        _shared, "grp string, a string, b string, shared double, total_a double, total_b double"
-    )
+    sizes = _blocks_of(totals).withColumn("buckets", F.greatest(F.lit(1), F.ceil(per_piece)))
+    least, most = sizes.agg(F.min("blocks"), F.max("blocks")).first()
+    found = []
+    if most is None or least == 1:
+        sizes_of = sizes.filter("blocks = 1").select("grp", "buckets", "n_units")
+        units = attach(totals, sizes_of, ["grp"], "inner", by=["unit"], counted="n_units")
+        tiles = F.greatest(F.lit(1), F.ceil(total_of(totals, F.sum("n_rows")) / ROWS_PER_TASK))
+        rows = attach(values, units, ["grp", "unit"], "inner", by=["item"], counted="n_rows")
+        pieces = rows.withColumn("tile", F.pmod(F.xxhash64("grp"), tiles)).withColumn("bucket", F.pmod(F.xxhash64("item"), F.col("buckets")))
+        pieces = pieces.select("tile", "bucket", "grp", "unit", "item", "value", "total")
+        parts = pieces.groupBy("tile", "bucket").applyInArrow(_shared, _SUMS)
+        found.append(parts.groupBy("grp", "a", "b").agg(F.sum("shared").alias("shared"), F.max("total_a").alias("total_a"), F.max("total_b").alias("total_b")))
+    if most is not None and most > 1:
+        finer = F.least(F.ceil(2 * F.col("n_values") / (4 * ROWS_PER_TASK)), F.ceil(F.col("n_units") / 64))
+        large = sizes.filter("blocks > 1").withColumn("blocks", F.greatest("blocks", finer))
+        # as many rows as there are groups of over 1,024 units
+        number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("grp"))
+        large = large.select("grp", number.alias("gno"), "blocks", "n_units")
+        units = attach(totals, large, ["grp"], "inner", by=["unit"], counted="n_units").withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int"))
+        at = F.row_number().over(Window.partitionBy("gno", "block").orderBy("unit")) - 1
+        head = F.concat(F.length("grp").cast("string"), F.lit(";"), "grp", "unit")
+        placed = cut(units.select("grp", "unit", "gno", "blocks", "block", at.alias("at"), "total", "n_rows", head.alias("head")), "tile-units")
+        found.append(_tile_stream(values, placed, ["grp", "unit"]).mapInArrow(_tile_pairs, _SUMS))
+    sums = reduce(DataFrame.unionByName, found)
     if every:
         apart = unit_pairs(totals).select("grp", "a", "b", F.lit(0.0).alias("shared"), "total_a", "total_b")
-        sums = sums.unionByName(apart)
-    return (
-        sums.groupBy("grp", "a", "b")
-        .agg(F.sum("shared").alias("shared"), F.max("total_a").alias("ta"), F.max("total_b").alias("tb"))
-        .select(
-            "grp",
-            "a",
-            "b",
-            F.greatest(F.lit(0.0), 1 - 2 * F.col("shared") / (F.col("ta") + F.col("tb"))).alias("dist"),
-        )
-    )
+        sums = sums.unionByName(apart).groupBy("grp", "a", "b").agg(F.sum("shared").alias("shared"), F.max("total_a").alias("total_a"), F.max("total_b").alias("total_b"))
+    dist = F.greatest(F.lit(0.0), 1 - 2 * F.col("shared") / (F.col("total_a") + F.col("total_b")))
+    return sums.select("grp", "a", "b", dist.alias("dist"))
 
 
 def bray_curtis(
@@ -271,8 +266,11 @@ def pair_class(pairs: DataFrame, units: DataFrame) -> DataFrame:
         place = F.struct("run", "site", "bio_rep").alias(f"_{name}")
         return units.select(F.col("unit").alias(name), place)
 
-    # every unit is in at most as many pairs as there are units: no key stands out
-    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    # pairs grow with the square of the units, so that these are few beside them; where they are
+    # many, every unit is in at most as many pairs as there are units: no key stands out
+    units = cut(units, "places")
+    few = F.broadcast if units.count() <= BROADCAST_UNITS else lambda rows: rows
+    both = pairs.join(few(side("a")), "a", "left").join(few(side("b")), "b", "left")
 
     def same(*columns: str):
         out = F.lit(True)
@@ -331,17 +329,72 @@ def _bins(dist: np.ndarray, width: float) -> np.ndarray:
     return np.ceil(np.round(dist, 9) / width - 0.5).astype(np.int64)
 
 
+def _tile_stream(values: DataFrame, placed: DataFrame, on: Sequence[str]) -> DataFrame:
+    """What tiles are made of, sorted by tile: (tile, kind, p, value, name).
+
+    ``placed`` (the columns ``on`` that name a unit, gno, blocks, block, at, total, n_rows, head) has the
+    units of group ``gno`` dealt to ``blocks`` blocks; two blocks, or one, are a tile. First come a tile's
+    units (kind 0: side and place, total, head), then sums of pairs (kind 1: cell, smaller value), then
+    values by item (kind 2: side and place, value, item). An item's pairs are sent one by one where that is
+    less than its values once per block, which is so for items of few units; those of many
+    units are never paired before they meet in the tile.
+    """
+    keys = ["gno", "item"]
+    item = F.coalesce(F.concat(F.lit("="), F.col("item").cast("string")), F.lit("")).alias("item")
+    cells = attach(values.select(*on, "item", "value"), placed.select(*on, "gno", "blocks", "block", "at", "n_rows"), on, "inner", by=["item"], counted="n_rows")
+    cells = cut(cells.select("gno", "blocks", item, "block", "at", "value"), "tile-values")
+    common = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max("blocks").alias("_most")).filter(F.col("n_rows") - 1 > 2 * F.col("_most"))
+    common = cut(common.select(*keys, "n_rows"), "tile-items")
+
+    def tile(lo: Column, hi: Column) -> Column:
+        bits = F.shiftleft(F.col("gno").cast("bigint"), 2 * _BITS) + F.shiftleft(lo.cast("bigint"), _BITS) + hi.cast("bigint")
+        return bits.alias("tile")
+
+    def dealt(rows: DataFrame, kind: int, value: str, name: str) -> DataFrame:
+        """Rows of units once for each tile of their block."""
+        each = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+        lo, hi = F.least("block", "_other"), F.greatest("block", "_other")
+        side = F.when(F.col("block") != lo, F.lit(_SIDE)).otherwise(F.lit(0).cast("bigint")) + F.col("at")
+        return each.select(tile(lo, hi), F.lit(kind).alias("kind"), side.alias("p"), F.col(value).alias("value"), F.col(name).alias("name"))
+
+    rare = attach(cells, common.select(*keys), keys, "left_anti", by=["block", "at"])
+    lists = rare.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("_l"))
+    first = lists.filter(F.size("_l") > 1).select("gno", "_l", F.posexplode("_l").alias("_i", "_x")).filter(F.col("_i") + 1 < F.size("_l"))
+    # never empty; outer, as the plan else makes each slice twice to see that
+    pairs = first.select("gno", "_x", F.explode_outer(F.slice("_l", F.col("_i") + 2, F.size("_l"))).alias("_y"))
+    cell = F.shiftleft(F.col("_x.at").cast("bigint"), _BITS) + F.col("_y.at")
+    pairs = pairs.select(
+        tile(F.col("_x.block"), F.col("_y.block")), F.lit(1).alias("kind"), cell.alias("p"), F.least("_x.value", "_y.value").alias("value"), F.lit(None).cast("string").alias("name")
+    )
+    many = attach(cells, common.withColumn("_n", F.col("n_rows")), keys, "inner", by=["block", "at"], counted="_n")
+    parts = dealt(placed, 0, "total", "head").unionByName(pairs).unionByName(dealt(many, 2, "value", "item"))
+    return parts.repartition("tile").sortWithinPartitions("tile", "kind", "name")
+
+
 class _Tile:
     """Sums of the smaller values for all pairs of two blocks of units (or within one)."""
 
-    def __init__(self, key: tuple[int, int], side: np.ndarray, at: np.ndarray, total: np.ndarray, places: list[np.ndarray]) -> None:
-        self.within = key[0] == key[1]
+    def __init__(self, tile: int, place: np.ndarray, total: np.ndarray, heads: pa.ChunkedArray) -> None:
+        blocks = tile & (1 << 2 * _BITS) - 1
+        self.within = blocks >> _BITS == blocks & (1 << _BITS) - 1
+        self.total, self.heads = total, heads
+        side, at = place // _SIDE, place % _SIDE
         of = [np.flatnonzero(side == k)[np.argsort(at[side == k])] for k in (0, 1)]
         self.rows, self.columns = of[0], of[0] if self.within else of[1]
-        self.total, self.places = total, places
         self.shape = len(self.rows), len(self.columns)
         self.sums = np.zeros(self.shape)
 
+    def add_cells(self, cell: np.ndarray, value: np.ndarray) -> None:
+        np.add.at(self.sums.reshape(-1), (cell >> _BITS) * self.shape[1] + (cell & (1 << _BITS) - 1), value)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The two units of each pair that shares an item, by their places among the heads, and its sum."""
+        hit = np.flatnonzero(self.sums)
+        a, b = hit // max(1, self.shape[1]), hit % max(1, self.shape[1])
+        if self.within:
+            hit, a, b = (x[a < b] for x in (hit, a, b))
+        return self.rows[a], self.columns[b], self.sums.reshape(-1)[hit]
+
     def add(self, runs: np.ndarray, side: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
         """Rows of whole items; ``runs`` numbers the items in order."""
         begins = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
@@ -366,38 +419,38 @@ class _Tile:
             np.add.at(flat, at[pick] * self.shape[1] + at[pick + s], np.minimum(value[pick], value[pick + s]))
 
     def counts(self, width: float) -> dict[tuple[int, int], int]:
-        """Number of pairs per class and bin."""
-        if not self.sums.size:
+        """Number of pairs that share an item per class and bin."""
+        a, b, shared = self.pairs()
+        if not len(a):
             return {}
-        both = self.total[self.rows][:, None] + self.total[self.columns][None, :]
-        shared = np.divide(2 * self.sums, both, out=np.zeros(self.shape), where=both > 0)
-        kind = np.full(self.shape, 3)
-        for order, place in ((2, self.places[0]), (1, self.places[1]), (0, self.places[2])):
-            kind[place[self.rows][:, None] == place[self.columns][None, :]] = order
-        bins = _bins(np.maximum(0.0, 1 - shared), width)
-        keep = np.triu(np.ones(self.shape, bool), 1) if self.within else np.ones(self.shape, bool)
+        both = self.total[a] + self.total[b]
+        bins = _bins(np.maximum(0.0, 1 - np.divide(2 * shared, both, out=np.zeros(len(a)), where=both > 0)), width)
+        # labels of run, site and bottle, each the begin of the next
+        labels = [(*map(int, sizes.split(",")), label) for sizes, _, label in (h.partition(";") for h in self.heads.to_pylist())]
+        kind = np.full(len(a), 3)
+        for order, names in ((2, [x[:run] for run, _, x in labels]), (1, [x[:site] for _, site, x in labels]), (0, [x for *_, x in labels])):
+            codes = np.unique(names, return_inverse=True)[1]
+            kind[codes[a] == codes[b]] = order
         base = int(bins.max()) + 1
-        codes, n = np.unique(kind[keep] * base + bins[keep], return_counts=True)
+        codes, n = np.unique(kind * base + bins, return_counts=True)
         return {(int(c // base), int(c % base)): int(k) for c, k in zip(codes, n)}
 
 
-def _tile_counts(width: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Reads tiles one after another, each with its units first and then its values by item, and
-    gives out their counts. One tile's sums and the rows of one batch are held."""
+def _read_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tile]:
+    """Tiles one after another, each from its units and then its pairs and values. One tile's sums
+    and the rows of one batch are held."""
 
-    def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    def whole_runs() -> Iterator[tuple[pa.Table, np.ndarray]]:
         rest: pa.Table | None = None
 
         def runs(table: pa.Table) -> np.ndarray:
-            new = np.zeros(len(table), bool)
-            new[:1] = True
-            for name in ("lo", "hi", "kind"):
-                x = table[name].to_numpy()
-                new[1:] |= x[1:] != x[:-1]
-            item = table["item"].combine_chunks()
-            missing = item.is_null().to_numpy(zero_copy_only=False)
-            apart = pc.fill_null(pc.not_equal(item[1:], item[:-1]), True).to_numpy(zero_copy_only=False)
-            new[1:] |= apart & ~(missing[1:] & missing[:-1])
+            """Begins of a tile's units, of single pairs and of a tile's items."""
+            tile, kind = table["tile"].to_numpy(), table["kind"].to_numpy()
+            new = np.ones(len(table), bool)
+            new[1:] = (tile[1:] != tile[:-1]) | (kind[1:] != kind[:-1]) | (kind[1:] == 1)
+            name = table["name"].combine_chunks()
+            apart = pc.fill_null(pc.not_equal(name[1:], name[:-1]), False).to_numpy(zero_copy_only=False)
+            new[1:] |= apart & (kind[1:] == 2)
             return new
 
         for batch in batches:
@@ -411,27 +464,60 @@ def _tile_counts(width: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 yield table[:last], np.cumsum(new[:last])
             rest = table[last:]
         if rest is not None and len(rest):
-            yield rest, np.ones(len(rest), np.int64)
+            yield rest, np.cumsum(runs(rest))
+
+    now: _Tile | None = None
+    for table, runs in whole_runs():
+        tile, kind, p, value = (table[c].to_numpy() for c in ("tile", "kind", "p", "value"))
+        cuts = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]) | (kind[1:] != kind[:-1])]))
+        for a, b in zip(cuts, [*cuts[1:], len(tile)]):
+            if kind[a] == 0:  # the units of a tile are one run, and come before the rest
+                if now is not None:
+                    yield now
+                now = _Tile(int(tile[a]), p[a:b], value[a:b], table["name"][a:b])
+            elif kind[a] == 1:
+                now.add_cells(p[a:b], value[a:b])
+            else:
+                now.add(runs[a:b], p[a:b] // _SIDE, p[a:b] % _SIDE, value[a:b])
+    if now is not None:
+        yield now
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the pairs that share an item, smaller label first; heads are the group's and the unit's label."""
+    for tile in _read_tiles(batches):
+        one, two, shared = tile.pairs()
+        if not len(one):
+            continue
+        size, _, label = tile.heads[0].as_py().partition(";")
+        grp = label[: int(size)]
+        units = pc.utf8_slice_codeunits(tile.heads.combine_chunks(), len(size) + 1 + len(grp))
+        order = np.argsort(np.array(units.to_pylist(), object))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        a, b = np.where(rank[one] < rank[two], one, two), np.where(rank[one] < rank[two], two, one)
+        for at in range(0, len(a), ROWS_PER_TASK):
+            x, y = a[at : at + ROWS_PER_TASK], b[at : at + ROWS_PER_TASK]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "grp": pa.repeat(pa.scalar(grp), len(x)),
+                    "a": units.take(pa.array(x)),
+                    "b": units.take(pa.array(y)),
+                    "shared": shared[at : at + ROWS_PER_TASK],
+                    "total_a": tile.total[x],
+                    "total_b": tile.total[y],
+                }
+            )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, tile, total = None, None, {}
 
-        def done() -> None:
-            for k, n in tile.counts(width).items() if tile is not None else ():
-                total[k] = total.get(k, 0) + n
+def _tile_counts(width: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of the tiles that a task reads."""
 
-        for table, runs in whole_runs(batches):
-            lo, hi, kind, side, at, value = (table[c].to_numpy() for c in ("lo", "hi", "kind", "side", "at", "value"))
-            cuts = np.flatnonzero(np.concatenate([[True], (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (kind[1:] != kind[:-1])]))
-            for a, b in zip(cuts, [*cuts[1:], len(lo)]):
-                if kind[a] == 0:  # the units of a tile are one run, and come before its values
-                    done()
-                    key = (int(lo[a]), int(hi[a]))
-                    places = [table[c][a:b].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in ("in_run", "in_site", "in_bottle")]
-                    tile = _Tile(key, side[a:b], at[a:b], value[a:b], places)
-                else:
-                    tile.add(runs[a:b], side[a:b], at[a:b], value[a:b])
-        done()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for tile in _read_tiles(batches):
+            for k, n in tile.counts(width).items():
+                total[k] = total.get(k, 0) + n
         yield pa.RecordBatch.from_pydict(
             {
                 "class_order": pa.array([k for k, _ in total], pa.int32()),
@@ -447,10 +533,10 @@ def pair_hist(values: DataFrame, units: DataFrame, width: float = 0.05) -> DataF
     """Histogram of all distances between ``units`` (unit, run, site, bio_rep) per class, bins of
     ``width`` centred on its multiples, with densities.
 
-    No pair is ever a row. Units are dealt to blocks of about 1,024 and every two blocks make a
-    tile, whose values are read item by item in sorted batches into one matrix of sums; what
-    leaves a task are counts per class and bin. A value is sent to as many tiles as there are
-    blocks, as every pair must be looked at somewhere.
+    No pair is listed. Units are dealt to blocks of about 1,024 and every two blocks make a
+    tile with one matrix of sums (:func:`_tile_stream`); what leaves a task are counts per class and
+    bin of the pairs that share an item. All others are at distance 1, and their number follows
+    from the sizes of the classes.
     """
     totals = unit_totals(values)
     known = attach(units, totals.select("unit", "total", "n_rows"), ["unit"], by=["run"])
@@ -458,31 +544,24 @@ def pair_hist(values: DataFrame, units: DataFrame, width: float = 0.05) -> DataF
     # enough tiles that none has all the work, and no more than one for every 64 units
     blocks = max(1, -(-n_units // UNITS_PER_BLOCK), min(-(-2 * n_rows // (4 * ROWS_PER_TASK)), -(-n_units // 64)))
     at = F.row_number().over(Window.partitionBy("block").orderBy("unit")) - 1
-    places = {"in_run": ["run"], "in_site": ["run", "site"], "in_bottle": ["run", "site", "bio_rep"]}
+    run, site, bottle = (_label(c) for c in (["run"], ["run", "site"], ["run", "site", "bio_rep"]))
+    head = F.concat(F.length(run).cast("string"), F.lit(","), F.length(site).cast("string"), F.lit(";"), bottle)
     placed = cut(
-        known.withColumn("block", F.pmod(F.xxhash64("unit"), F.lit(blocks)).cast("int"))
-        .withColumn("at", at)
-        .select("unit", "block", "at", F.coalesce("total", F.lit(0.0)).alias("total"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), *[_label(c).alias(n) for n, c in places.items()]),
+        known.withColumn("block", F.pmod(F.xxhash64("unit"), F.lit(blocks)).cast("int")).select(
+            "unit", F.lit(0).alias("gno"), F.lit(blocks).alias("blocks"), "block", at.alias("at"),
+            F.coalesce("total", F.lit(0.0)).alias("total"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), head.alias("head"),
+        ),
         "tile-units",
+    )
+    near = _tile_stream(values, placed, ["unit"]).mapInArrow(_tile_counts(width), "class_order int, bin bigint, n bigint")
+    near = cut(near.groupBy("class_order", "bin").agg(F.sum("n").alias("n")), "tile-counts")
+    whole = class_totals(units).select("class_order", F.col("n_pairs").alias("_pairs"))
+    listed = near.groupBy("class_order").agg(F.sum("n").alias("_near"))
+    apart = whole.join(F.broadcast(listed), "class_order", "left").select(
+        "class_order", F.lit(int(_bins(np.ones(1), width)[0])).cast("bigint").alias("bin"), (F.col("_pairs") - F.coalesce("_near", F.lit(0))).alias("n")
     )
-    nothing = F.lit(None).cast("string")
-    cells = attach(values.select("unit", "item", "value"), placed.select("unit", "block", "at", "n_rows"), ["unit"], "inner", by=["item"], counted="n_rows").select(
-        F.lit(1).alias("kind"), "block", "at", F.col("item").cast("string").alias("item"), "value", *[nothing.alias(n) for n in places]
-    )
-    heads = placed.select(F.lit(0).alias("kind"), "block", "at", nothing.alias("item"), F.col("total").alias("value"), *places)
-    dealt = (
-        heads.unionByName(cells)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .withColumn("lo", F.least("block", "other"))
-        .withColumn("hi", F.greatest("block", "other"))
-        .withColumn("side", (F.col("block") != F.col("lo")).cast("int"))
-        .drop("block", "other")
-    )
-    tiles = dealt.repartition("lo", "hi").sortWithinPartitions("lo", "hi", "kind", "item")
-    counted = tiles.mapInArrow(_tile_counts(width), "class_order int, bin bigint, n bigint").groupBy("class_order", "bin").agg(F.sum("n").alias("n"))
-    counted = cut(counted, "tile-counts")
+    counted = near.unionByName(apart.filter("n > 0")).groupBy("class_order", "bin").agg(F.sum("n").alias("n"))
     names = F.array(*[F.lit(c) for c in CLASSES])
-    whole = counted.groupBy("class_order").agg(F.sum("n").alias("_pairs"))
     return counted.join(F.broadcast(whole), "class_order").select(
         F.element_at(names, F.col("class_order") + 1).alias("pair_class"), "class_order", "bin", "n", (F.col("n") / (F.col("_pairs") * F.lit(width))).alias("density")
     )

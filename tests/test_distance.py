@@ -299,3 +299,25 @@ def test_site_tables(long):
     start = long(("r", "a", "f", "t", 2, "S"), ("r", "b", "f", "t", 4, "S"), ("r", "a", "g", "u", 1, "S"), ("r", "c", "f", "t", 5, "T"), extra=", site string")
     assert rows(tb.site_reads(start)) == [("t", "S", 6), ("t", "T", 5), ("u", "S", 1)]
     assert rows(tb.site_index(start), "taxon", "site", "index") == [("t", "S", 0.75), ("t", "T", 1.0), ("u", "S", 1.0)]
+
+
+def test_items_of_few_units_are_not_sent_to_every_tile(spark, monkeypatch):
+    """Both histogram and distances send such an item's pairs, and values only of items that many units have."""
+    monkeypatch.setattr(ds, "UNITS_PER_BLOCK", 4)
+    sent, stream = [], ds._tile_stream
+    monkeypatch.setattr(ds, "_tile_stream", lambda *args: sent.append(stream(*args)) or sent[-1])
+    units = [f"u{i:03d}" for i in range(80)]
+    cells = [("", u, f"i{k // 4}", 1.0 + k % 3) for k, u in enumerate(units)] + [("", u, None, 1.0) for u in units[:3]] + [("", u, "common", 2.0) for u in units]
+    values = spark.createDataFrame(cells, VALUES)
+    got = {(a, b): d for _, a, b, d in rows(ds.pair_distances(values))}
+    want = {k[1:]: d for k, d in dense_distances(cells).items()}
+    assert got == pytest.approx(want, abs=1e-12) and len(got) == 80 * 79 // 2
+    places = {u: ("r", str(k % 2), str(k % 3)) for k, u in enumerate(units)}
+    hist = ds.pair_hist(values, spark.createDataFrame([(u, *p) for u, p in places.items()], "unit string, run string, site string, bio_rep string"))
+    assert {(r["class_order"], r["bin"]): r["n"] for r in hist.collect()} == hist_by_hand(cells, places)
+    assert len(sent) == 2
+    for parts in sent:
+        kinds = {r["kind"]: r["n"] for r in parts.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # 20 items of four units and one of three; of 163 values only the 80 of the common one go to all blocks
+        assert kinds[1] == 20 * 6 + 3 and kinds[2] == kinds[0] == 80 * 20
+        assert {r["name"] for r in parts.filter("kind = 2").select("name").distinct().collect()} == {"=common"}
